@@ -7,16 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estatelens.session import ensure_checkpoint_dir
+from estatelens.session import scratch_dir
 
 # A broadcast side above this many rows goes through a shuffle join instead.
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint dir."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
+    folder and reading it back: computed once, survives executor loss, and
+    later jobs start from the written files."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,

@@ -22,7 +22,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _load_all():
-    from estatelens.plans import q_core, q_clean, q_profile  # noqa: F401
+    from estatelens.plans import q_core, q_clean, q_profile, q_time  # noqa: F401
 
 
 def queries():

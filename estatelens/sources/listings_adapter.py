@@ -17,39 +17,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-K = "o_orderkey"
-P = "(3000 + o_custkey % 100)"
+K = "k"
+P = "p"
 STATUS = "(CASE WHEN o_orderstatus = 'O' THEN 'For Sale' ELSE 'Sold' END)"
-SUBURB = (f"(CASE WHEN o_orderstatus = 'O' AND {K} % 97 = 0 "
-          f"THEN 'COLD' || CAST({K} % 3 AS STRING) "
-          f"ELSE 'S' || CAST(o_custkey % 40 AS STRING) END)")
+SUBURB = "suburb"
 MONTH_NAME = ("(CASE month(o_orderdate) WHEN 1 THEN 'Jan' WHEN 2 THEN 'Feb' "
               "WHEN 3 THEN 'Mar' WHEN 4 THEN 'Apr' WHEN 5 THEN 'May' "
               "WHEN 6 THEN 'Jun' WHEN 7 THEN 'Jul' WHEN 8 THEN 'Aug' "
               "WHEN 9 THEN 'Sep' WHEN 10 THEN 'Oct' WHEN 11 THEN 'Nov' "
               "ELSE 'Dec' END)")
 N = "CAST(floor(o_totalprice) AS BIGINT)"
-LAT_NULL = f"({K} % 307 = 0)"
+LAT_NULL = "lat_null"
 
 
 def _dbl(e: str) -> str:
     return f"CAST({e} AS DOUBLE)"
 
 
-BASE_PRICE = (f"(CASE WHEN {K} % 8 IN (5, 7) THEN NULL "
-              f"WHEN {K} % 401 = 0 THEN {_dbl('5')} "
-              f"WHEN {K} % 503 = 0 THEN {_dbl('30000000')} "
-              f"ELSE o_totalprice END)")
-BASE_RAW = (f"(CASE {K} % 8 "
-            f"WHEN 0 THEN '$' || CAST({N} AS STRING) "
-            f"WHEN 1 THEN '$' || CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS STRING) || 'k' "
-            f"WHEN 2 THEN '$' || CAST({N} AS STRING) || ' - $' || CAST({N} + 40000 AS STRING) "
-            f"WHEN 3 THEN '$' || CAST({N} AS STRING) || ' to $' || CAST({N} + 60000 AS STRING) "
-            f"WHEN 4 THEN '$' || CAST(CAST(floor(o_totalprice / 1000000) AS BIGINT) AS STRING) || '.' "
-            f"|| CAST(CAST(floor(o_totalprice / 100000) AS BIGINT) % 10 AS STRING) || 'm' "
-            f"WHEN 5 THEN 'Contact Agent' "
-            f"WHEN 6 THEN '$1 million' "
-            f"ELSE NULL END)")
+# Helper columns computed once per row (stage 1), referenced by COLUMNS.
+PRE: list[tuple[str, str]] = [
+    ("k", "o_orderkey"),
+    ("p", "(3000 + o_custkey % 100)"),
+    ("suburb", "(CASE WHEN o_orderstatus = 'O' AND o_orderkey % 97 = 0 "
+               "THEN 'COLD' || CAST(o_orderkey % 3 AS STRING) "
+               "ELSE 'S' || CAST(o_custkey % 40 AS STRING) END)"),
+    ("lat_null", "(o_orderkey % 307 = 0)"),
+    ("base_price", f"(CASE WHEN o_orderkey % 8 IN (5, 7) THEN NULL "
+                   f"WHEN o_orderkey % 401 = 0 THEN {_dbl('5')} "
+                   f"WHEN o_orderkey % 503 = 0 THEN {_dbl('30000000')} "
+                   f"ELSE o_totalprice END)"),
+    ("base_raw", f"(CASE o_orderkey % 8 "
+                 f"WHEN 0 THEN '$' || CAST({N} AS STRING) "
+                 f"WHEN 1 THEN '$' || CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS STRING) || 'k' "
+                 f"WHEN 2 THEN '$' || CAST({N} AS STRING) || ' - $' || CAST({N} + 40000 AS STRING) "
+                 f"WHEN 3 THEN '$' || CAST({N} AS STRING) || ' to $' || CAST({N} + 60000 AS STRING) "
+                 f"WHEN 4 THEN '$' || CAST(CAST(floor(o_totalprice / 1000000) AS BIGINT) AS STRING) || '.' "
+                 f"|| CAST(CAST(floor(o_totalprice / 100000) AS BIGINT) % 10 AS STRING) || 'm' "
+                 f"WHEN 5 THEN 'Contact Agent' "
+                 f"WHEN 6 THEN '$1 million' "
+                 f"ELSE NULL END)"),
+]
+BASE_RAW = "base_raw"
+BASE_PRICE = "base_price"
 
 # (name, expression) in ENRICHED column order; ``v`` is the row version.
 COLUMNS: list[tuple[str, str]] = [
@@ -89,7 +98,7 @@ COLUMNS: list[tuple[str, str]] = [
     ("Distance_to_CBD_km", f"(CASE WHEN {LAT_NULL} THEN NULL ELSE "
                            f"{_dbl(f'({K} * 13) % 5000')} / {_dbl('100')} END)"),
     ("URL", f"'https://www.domain.com.au/listing-' || CAST({K} AS STRING)"),
-    ("Last_Updated", f"(CAST(o_orderdate AS DATE) + CAST(v AS INT))"),
+    ("Last_Updated", "(CAST(o_orderdate AS DATE) + v)"),
     ("abs_median_income_weekly", f"(CASE WHEN {P} % 23 = 0 THEN NULL "
                                  f"ELSE {_dbl(f'600 + ({P} * 37) % 900')} END)"),
     ("abs_median_age", f"(CASE WHEN {P} % 23 = 0 THEN NULL "
@@ -104,7 +113,7 @@ COLUMNS: list[tuple[str, str]] = [
                               f"{_dbl(f'({K} * 17) % 8000')} / {_dbl('1000')} END)"),
 ]
 
-DUP_CONDITION = f"o_orderstatus = 'O' AND {K} % 50 = 0"
+DUP_CONDITION = "o_orderstatus = 'O' AND o_orderkey % 50 = 0"
 ORDERS_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                   "o_orderdate"]
 
@@ -118,14 +127,15 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDERS_COLUMNS)
     versions = F.expr(f"CASE WHEN {DUP_CONDITION} THEN array(0, 1) ELSE array(0) END")
     exploded = orders.withColumn("v", F.explode(versions))
-    return exploded.select(*[F.expr(e).alias(n) for n, e in COLUMNS])
+    pre = exploded.select("*", *[F.expr(e).alias(n) for n, e in PRE])
+    return pre.select(*[F.expr(e).alias(n) for n, e in COLUMNS])
 
 
 def duckdb_sql() -> str:
     """The same table as a DuckDB SELECT (for oracle CTEs)."""
-    cols0 = ",\n  ".join(f"{e.replace('v = 1', '0 = 1').replace('CAST(v AS INT)', '0')} AS {n}"
-                         for n, e in COLUMNS)
-    cols1 = ",\n  ".join(f"{e.replace('v = 1', '1 = 1').replace('CAST(v AS INT)', '1')} AS {n}"
-                         for n, e in COLUMNS)
-    return (f"SELECT\n  {cols0}\nFROM orders\nUNION ALL\nSELECT\n  {cols1}\n"
-            f"FROM orders WHERE {DUP_CONDITION}")
+    oc = ", ".join(ORDERS_COLUMNS)
+    pre = ", ".join(f"{e} AS {n}" for n, e in PRE)
+    cols = ",\n  ".join(f"{e} AS {n}" for n, e in COLUMNS)
+    return (f"SELECT\n  {cols}\nFROM (SELECT *, {pre} FROM (\n"
+            f"  SELECT {oc}, 0 AS v FROM orders\n  UNION ALL\n"
+            f"  SELECT {oc}, 1 AS v FROM orders WHERE {DUP_CONDITION}) o) pre")
