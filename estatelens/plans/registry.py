@@ -22,7 +22,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _load_all():
-    from estatelens.plans import q_core, q_clean, q_profile, q_time  # noqa: F401
+    from estatelens.plans import q_core, q_clean, q_profile, q_time, q_spatial  # noqa: F401
 
 
 def queries():
@@ -37,5 +37,5 @@ def oracle_sql():
 
 def flagship(spark, sf_dir):
     _load_all()
-    from estatelens.plans.q_core import flagship as f
-    return f(spark, sf_dir)
+    from estatelens.plans.q_spatial import flagship as f
+    return f(spark, sf_dir, min_n=10)
