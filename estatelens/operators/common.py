@@ -53,3 +53,30 @@ def desc_nulls_last(c) -> list[Column]:
     """Sort key parts making ``max`` behave as ORDER BY c DESC NULLS LAST."""
     c = F.col(c) if isinstance(c, str) else c
     return [c.isNotNull(), c]
+
+
+def global_rank(df: DataFrame, order: Sequence[str], alias: str = "rank",
+                partitions: int | None = None) -> DataFrame:
+    """0-based position of every row in the total order ``order`` (which must
+    be unique per row), computed without a single-partition window.
+
+    Rows are range-partitioned on the full order key (so one hot leading
+    value is still split across tasks) and sorted inside each partition; a
+    per-partition count gives each partition's offset; the position is the
+    offset plus the row's index inside its partition.  The ranked table is
+    written out so every consumer sees the same positions.
+    """
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    s = (df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+         .withColumn("__pid", F.spark_partition_id())
+         .withColumn("__mid", F.monotonically_increasing_id()))
+    s = materialize(s, "rank-sorted")
+    per = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__min"))
+    from pyspark.sql import Window
+    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    # ``per`` has one row per partition (bounded by the partition count).
+    offs = per.select("__pid", "__min", F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
+    out = s.join(F.broadcast(offs), "__pid")
+    return out.withColumn(alias, F.col("__off") + F.col("__mid") - F.col("__min")) \
+        .drop("__pid", "__mid", "__min", "__off")
