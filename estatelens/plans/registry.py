@@ -22,7 +22,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _load_all():
-    from estatelens.plans import q_core, q_clean, q_profile, q_time, q_spatial, q_drift, q_features, q_scoring, q_models, q_scalars, q_enrich, q_ingest, q_sources  # noqa: F401
+    from estatelens.plans import q_core, q_clean, q_profile, q_time, q_spatial, q_drift, q_features, q_scoring, q_models, q_scalars, q_enrich, q_ingest, q_sources, q_stream  # noqa: F401
 
 
 def queries():
