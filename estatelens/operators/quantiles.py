@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from estatelens.operators.common import materialize
+
 
 def _t(v: Column) -> Column:
     # Monotone, compresses heavy tails so ranges fill evenly.
@@ -67,7 +69,10 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys)
     v = F.col(value)
     base = df.select(*keys, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    counts = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    # One pass over the input (map-side combined), written once: every later
+    # step reads this distinct-value table instead of re-running the input.
+    counts = materialize(base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")),
+                         "pct-counts")
     cum = running_totals(counts, keys, "__v", ["__c"], buckets)
     n = counts.groupBy(*keys).agg(F.sum("__c").alias("__n"))
     # Target positions (0-based) for each quantile: floor(h) and floor(h)+1.
