@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.functions import scalars as S
-from estatelens.operators.common import broadcast_checked, desc_nulls_last, latest_per_key
+from estatelens.operators.common import (broadcast_checked, desc_nulls_last, latest_per_key,
+                                         materialize)
 from estatelens.operators.quantiles import exact_percentiles
 from estatelens.params import DEFAULT, Params
 
@@ -135,7 +136,9 @@ def clean(listings: DataFrame, p: Params = DEFAULT, check_caps: bool = True) ->
     parsed = parse_dates(listings)
     kept = apply_drop_rules(parsed)
     dedup = dedup_recent(kept)
-    flagged = dedup.withColumn("is_land", land_flag(p))
+    # Two consumers (cap fitting, rule application): written once so the
+    # parse/drop/dedup work is not repeated.
+    flagged = materialize(dedup.withColumn("is_land", land_flag(p)), "flagged")
     caps = landsize_caps(flagged, p)
     caps_b = broadcast_checked(caps) if check_caps else caps
     return CleanResult(apply_clean_rules(flagged, caps_b, p), caps, flagged)

@@ -2,19 +2,52 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from estatelens.operators.clean import CleanResult, clean
+from estatelens.operators.common import materialize
 from estatelens.params import DEFAULT, Params
 from estatelens.sources import listings_adapter as la
+from estatelens.sources.tables import read_table
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return la.listings(spark, sf_dir)
 
 
+_STAGES: dict = {}
+
+
+def _fingerprint(sf_dir: str, names: tuple) -> tuple:
+    """Identity of an input snapshot: file sizes and modification times."""
+    out = []
+    for n in names:
+        path = f"{sf_dir}/{n}.parquet"
+        try:
+            st = os.stat(path)
+            out.append((n, st.st_size, st.st_mtime_ns))
+        except OSError:
+            out.append((n, None, None))
+    return tuple(out)
+
+
 def cleaned_result(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> CleanResult:
-    return clean(listings(spark, sf_dir), p)
+    """The cleaning stage as a materialized table (the reference writes its
+    cleaned Parquet once and every later stage reads it).  Computed once
+    per (session, input snapshot, params) and written to the shared
+    checkpoint folder; later queries read the written table."""
+    key = ("clean", spark.sparkContext.applicationId, sf_dir,
+           _fingerprint(sf_dir, ("orders",)), p)
+    hit = _STAGES.get(key)
+    if hit is not None:
+        return hit
+    res = clean(listings(spark, sf_dir), p)
+    res = CleanResult(materialize(res.cleaned, "cleaned"), materialize(res.caps, "caps"),
+                      res.flagged)
+    _STAGES[key] = res
+    return res
 
 
 def cleaned(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
@@ -22,4 +55,4 @@ def cleaned(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, sf_dir, name)

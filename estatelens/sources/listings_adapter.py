@@ -124,7 +124,8 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     The re-listed copies come from an ``explode`` of the row's versions, so
     the table is read once and the copies stay in the scan's partition.
     """
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDERS_COLUMNS)
+    from estatelens.sources.tables import spread
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDERS_COLUMNS))
     versions = F.expr(f"CASE WHEN {DUP_CONDITION} THEN array(0, 1) ELSE array(0) END")
     exploded = orders.withColumn("v", F.explode(versions))
     pre = exploded.select("*", *[F.expr(e).alias(n) for n, e in PRE])
