@@ -131,3 +131,21 @@ def suburb_compare(scored: DataFrame, reference: DataFrame) -> DataFrame:
     return scored.join(reference.select("Suburb", F.col("median_price").alias("suburb_median")),
                        "Suburb", "left").withColumn(
         "vs_suburb_pct", F.bround((F.col("Predicted_Price") / F.col("suburb_median") - 1) * 100, 1))
+
+
+def filter_listings(view: DataFrame, types=None, suburbs=None, price_range=None,
+                    beds_range=None, signals=None) -> DataFrame:
+    """The dashboard's global filters as one parameterised predicate
+    (pushed down to the scan when the view is read from Parquet)."""
+    cond = F.lit(True)
+    if types:
+        cond = cond & F.col("Property_Type").isin(*types)
+    if suburbs:
+        cond = cond & F.col("Suburb").isin(*suburbs)
+    if price_range:
+        cond = cond & F.col("Predicted_Price").between(*price_range)
+    if beds_range:
+        cond = cond & F.col("Beds").between(*beds_range)
+    if signals:
+        cond = cond & F.col("Deal_Signal").isin(*signals)
+    return view.where(cond)

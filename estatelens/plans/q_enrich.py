@@ -158,7 +158,15 @@ def q_rail(spark, sf_dir):
     return rail_stops(spark, sf_dir)
 
 
-@register("rail_stops_lenient")
+LENIENT_SQL = RAIL_SQL.replace(
+    "kept AS (SELECT * FROM s1 WHERE stop_lat IS NOT NULL AND stop_lon IS NOT NULL\n"
+    "         AND (feed_id, stop_id) IN (SELECT (feed_id, stop_id) FROM served)),",
+    "kept AS (SELECT * FROM s1 WHERE stop_lat IS NOT NULL AND stop_lon IS NOT NULL\n"
+    "         AND ((feed_id, stop_id) IN (SELECT (feed_id, stop_id) FROM served)\n"
+    "              OR feed_id NOT IN (SELECT feed_id FROM rail))),")
+
+
+@register("rail_stops_lenient", O.with_listings(LENIENT_SQL))
 def q_rail_lenient(spark, sf_dir):
     return rail_stops(spark, sf_dir, DEFAULT.with_(lenient_rail=True))
 

@@ -130,3 +130,18 @@ def q_attribution(spark, sf_dir):
     model = M.boosting(QUICK_LOCKED).fit(fd.train)
     sample = hash_sample(fd.test, 2000, "Property_ID")
     return M.permutation_importance(model, sample, prep.feature_order, "Property_ID")
+
+
+@register("score_requests")
+def q_score_requests(spark, sf_dir):
+    """V4 re-aimed: on-demand estimates as batch scoring of a request table
+    (here: every For Sale listing as a request) with interval, suburb-median
+    comparison (C13) and weak-segment warnings (H20)."""
+    from estatelens.operators.spatial import suburb_stats
+    from estatelens.operators.timeseries import sold_priced
+    view, _, _ = batch_score(spark, sf_dir)
+    st = suburb_stats(sold_priced(base.cleaned(spark, sf_dir)), 30)
+    known = split(spark, sf_dir).where("fold = 'train'").select("Suburb")
+    out = SC.warnings(SC.suburb_compare(view, st), known)
+    return out.select("Property_ID", "Suburb", "Predicted_Price", "Predicted_Price_Lower",
+                      "Predicted_Price_Upper", "suburb_median", "vs_suburb_pct", "warnings")

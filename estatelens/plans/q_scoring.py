@@ -155,3 +155,14 @@ def q_suburb_compare(spark, sf_dir):
     st = suburb_stats(sold_priced(base.cleaned(spark, sf_dir)), 30)
     c = SC.suburb_compare(scored(spark, sf_dir), st)
     return c.select("Property_ID", "Suburb", "Predicted_Price", "suburb_median", "vs_suburb_pct")
+
+
+@register("filtered_listings", O.with_cleaned(FEAT_CTES + SCORED_CTE + """
+SELECT Property_ID, Suburb, Property_Type, Beds, Predicted_Price, Deal_Signal FROM signals
+WHERE Property_Type IN ('House', 'Townhouse') AND Predicted_Price BETWEEN 400000 AND 1200000
+  AND Beds BETWEEN 2 AND 5 AND Deal_Signal IN ('Good Deal', 'Fair')"""))
+def q_filtered(spark, sf_dir):
+    v = SC.prediction_view(scored(spark, sf_dir))
+    f = SC.filter_listings(v, types=["House", "Townhouse"], price_range=(400000, 1200000),
+                           beds_range=(2, 5), signals=["Good Deal", "Fair"])
+    return f.select("Property_ID", "Suburb", "Property_Type", "Beds", "Predicted_Price", "Deal_Signal")
