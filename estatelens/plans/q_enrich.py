@@ -60,7 +60,8 @@ def offences_raw(spark, sf_dir):
 def feeds(spark, sf_dir):
     part, li, sup = (base.table(spark, sf_dir, t) for t in ("part", "lineitem", "supplier"))
     stops = _spark(sup, FEED_STOPS)
-    stops = stops.withColumn("feed_id", F.lit("F0")).unionByName(stops.withColumn("feed_id", F.lit("F1")))
+    # every stop appears in both feeds (same stop_id in two feeds)
+    stops = stops.withColumn("feed_id", F.explode(F.array(F.lit("F0"), F.lit("F1"))))
     return _spark(part, ROUTES), _spark(li, TRIPS), _spark(li, STOP_TIMES), stops
 
 
