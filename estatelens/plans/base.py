@@ -56,3 +56,14 @@ def cleaned(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
+
+
+def stage(spark: SparkSession, sf_dir: str, name: str, build, p: Params = DEFAULT) -> DataFrame:
+    """A derived table written once per (session, input snapshot, params)."""
+    key = (name, spark.sparkContext.applicationId, sf_dir,
+           _fingerprint(sf_dir, ("orders",)), p)
+    hit = _STAGES.get(key)
+    if hit is None:
+        hit = materialize(build(), name)
+        _STAGES[key] = hit
+    return hit

@@ -31,7 +31,10 @@ def engineered(spark, sf_dir):
 
 
 def split(spark, sf_dir):
-    return FE.chronological_split(FE.trainable(engineered(spark, sf_dir)))
+    """Trainable rows with their chronological fold, as a stage table
+    (written once per input snapshot, like the cleaned table)."""
+    return base.stage(spark, sf_dir, "split",
+                      lambda: FE.chronological_split(FE.trainable(engineered(spark, sf_dir))))
 
 
 @register("new_build_rare", O.with_cleaned(FEAT_CTES + """
