@@ -105,3 +105,19 @@ def test_split_sizes(spark):
                                .alias("Date_parsed"))
     c = {r.fold: r["count"] for r in chronological_split(df).groupBy("fold").count().collect()}
     assert c == {"train": 90348, "val": 19360, "test": 19361}
+
+
+def test_ridge_matches_closed_form(spark):
+    from pyspark.ml.linalg import Vectors
+    from estatelens.operators.models import LABEL, fit_ridge
+    rng = np.random.default_rng(11)
+    n, p, alpha = 400, 5, 10.0
+    X = rng.normal(size=(n, p))
+    y = X @ rng.normal(size=p) + 3 + rng.normal(scale=0.5, size=n)
+    df = spark.createDataFrame([(Vectors.dense(X[i].tolist()), float(y[i])) for i in range(n)],
+                               ["features", LABEL])
+    m = fit_ridge(df, alpha, n, float(np.std(y)))
+    Xc, yc = X - X.mean(0), y - y.mean()
+    w = np.linalg.solve(Xc.T @ Xc + alpha * np.eye(p), Xc.T @ yc)
+    assert np.allclose(m.coefficients.toArray(), w, atol=1e-8)
+    assert abs(m.intercept - (y.mean() - X.mean(0) @ w)) < 1e-8
