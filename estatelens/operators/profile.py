@@ -128,10 +128,29 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.select(parts.getItem(0).alias("col_a"), parts.getItem(1).alias("col_b"), "r")
 
 
-def hash_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """F-6: deterministic pseudo-random sample of at most n rows
-    (hash-ordered distributed top-k; independent of partitioning)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+def hash_sample(df: DataFrame, n: int, key: str, seed: int = 42, oversample: float = 4.0) -> DataFrame:
+    """F-6: deterministic pseudo-random sample of at most n rows: the n rows
+    with the smallest ``xxhash64(key, seed)`` (independent of partitioning).
+
+    A plain ``orderBy(hash).limit(n)`` sends n rows from every task to one
+    task.  Here rows are first kept only if their hash falls in the lowest
+    ``oversample * n / N`` share of the hash range (a map-side filter); the
+    final top-n runs on ~oversample x n rows.  The filter keeps *every* row
+    below the threshold, so whenever it passes >= n rows the result equals
+    the unfiltered top-n; otherwise the threshold is widened.
+    """
+    h = F.xxhash64(F.col(key), F.lit(seed))
+    total = df.count()
+    if total <= n:
+        return df.orderBy(h, F.col(key))
+    frac = min(1.0, oversample * n / total)
+    while True:
+        # xxhash64 is uniform over [-2^63, 2^63): threshold on that range
+        thr = -9.223372036854776e18 + frac * 1.8446744073709552e19
+        cand = df.where(h.cast("double") < F.lit(thr)) if frac < 1.0 else df
+        if frac >= 1.0 or cand.count() >= n:
+            return cand.orderBy(h, F.col(key)).limit(n)
+        frac = min(1.0, frac * 4)
 
 
 def column_percentiles(df: DataFrame, columns: Sequence[str], qs: dict[str, float],

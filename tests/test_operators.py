@@ -121,3 +121,11 @@ def test_ridge_matches_closed_form(spark):
     w = np.linalg.solve(Xc.T @ Xc + alpha * np.eye(p), Xc.T @ yc)
     assert np.allclose(m.coefficients.toArray(), w, atol=1e-8)
     assert abs(m.intercept - (y.mean() - X.mean(0) @ w)) < 1e-8
+
+
+def test_hash_sample_equals_global_top_n(spark):
+    from estatelens.operators.profile import hash_sample
+    df = spark.range(50000).select(F.col("id").cast("string").alias("k"))
+    a = [r.k for r in hash_sample(df, 700, "k").collect()]
+    b = [r.k for r in df.orderBy(F.xxhash64("k", F.lit(42)), "k").limit(700).collect()]
+    assert a == b
