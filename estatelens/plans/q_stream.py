@@ -17,6 +17,15 @@ from estatelens.streaming import micro_batch as MB
 N_CHUNKS = 5
 
 
+def land_in_order(chunks, source_dir):
+    """Test-fixture landing: each chunk (a slice of a driver table) becomes
+    one file, written after the previous one, so arrival order = chunk
+    order.  Upstream producers land real input; the stream jobs never
+    depend on this helper."""
+    for c in chunks:
+        c.coalesce(1).write.mode("append").parquet(source_dir)
+
+
 def _landed_events(spark, sf_dir, where=None):
     e = events(spark, sf_dir)
     if where is not None:
@@ -24,7 +33,7 @@ def _landed_events(spark, sf_dir, where=None):
     src = scratch_dir(spark, "events-src")
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01"))
     chunks = [e.where(F.floor(day * N_CHUNKS / 31) == i) for i in range(N_CHUNKS)]
-    MB.write_in_order(chunks, src)
+    land_in_order(chunks, src)
     return src, e.schema
 
 
@@ -64,7 +73,7 @@ def q_boundary_resume(spark, sf_dir):
     src = scratch_dir(spark, "cand-src")
     # whole suburbs per file: a suburb's candidates always arrive together
     chunks = [c.where(F.pmod(F.xxhash64(F.upper(F.trim("suburb"))), F.lit(4)) == i) for i in range(4)]
-    MB.write_in_order(chunks, src)
+    land_in_order(chunks, src)
     return MB.boundary_stream(spark, src, c.schema, scratch_dir(spark, "boundary-sink"),
                               scratch_dir(spark, "boundary-work"))
 
@@ -76,7 +85,7 @@ def q_rescore(spark, sf_dir):
     from estatelens.operators import scoring as SC
     fs = engineered(spark, sf_dir).where("Status = 'For Sale'")
     src = scratch_dir(spark, "forsale-src")
-    MB.write_in_order([fs.where(F.col("Postcode") % 2 == i) for i in range(2)], src)
+    land_in_order([fs.where(F.col("Postcode") % 2 == i) for i in range(2)], src)
 
     def score(batch):
         b = batch.withColumns({"pt": F.expr(standin.PRED), "q10": F.expr(standin.Q10),

@@ -92,9 +92,3 @@ def rescore_stream(spark: SparkSession, source_dir: str, schema: T.StructType, o
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out_dir).drop("batch")
-
-
-def write_in_order(chunks: Sequence[DataFrame], source_dir: str) -> None:
-    """Land chunks as successive files (arrival order = write order)."""
-    for i, c in enumerate(chunks):
-        c.coalesce(1).write.mode("append").parquet(source_dir)
