@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from estatelens.session import scratch_dir
 
-# A broadcast side above this many rows goes through a shuffle join instead.
-MAX_BROADCAST_ROWS = 2_000_000
+# A broadcast side above either bound goes through a shuffle join instead.
+MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024      # written (compressed) size
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -23,17 +24,36 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def written_bytes(df: DataFrame) -> int | None:
+    """Total size of the files behind a file-scan DataFrame (None if unknown)."""
+    try:
+        files = df.inputFiles()
+        jvm = df.sparkSession._jvm
+        conf = df.sparkSession._jsc.hadoopConfiguration()
+        total = 0
+        for f in files:
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            total += path.getFileSystem(conf).getFileStatus(path).getLen()
+        return total
+    except Exception:  # not a file scan / filesystem without sizes
+        return None
+
+
 def broadcast_checked(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES,
                       materialized: bool = False) -> DataFrame:
     """Broadcast ``df`` only after proving it is small.
 
-    The (small, fitted) table is checkpointed first so the count and the
-    later join reuse one computation; beyond ``max_rows`` the plain frame is
-    returned and Spark plans a shuffle join.
+    The (small, fitted) table is written first so the checks and the later
+    join reuse one computation; it is broadcast only when both its row
+    count and its written size are under the bounds, otherwise the plain
+    frame is returned and Spark plans a shuffle join.
     """
     m = df if materialized else materialize(df)
     n = m.count()
-    return F.broadcast(m) if n <= max_rows else m
+    size = written_bytes(m)
+    small = n <= max_rows and (size is None or size <= max_bytes)
+    return F.broadcast(m) if small else m
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
