@@ -44,16 +44,26 @@ def _clean_name(c: str) -> str:
     return c.strip().lstrip("\ufeff").strip()
 
 
+def _decodes_cleanly(spark: SparkSession, path: str, enc: str, probe_lines: int) -> bool:
+    """No replacement characters in the first ``probe_lines`` decoded lines
+    (a bounded probe instead of a full pass over a large input)."""
+    if enc.upper().startswith("ISO-8859"):
+        return True                      # every byte sequence is valid Latin-1
+    head = spark.read.text(path).limit(probe_lines)     # raw bytes as read
+    return head.where(~F.expr("is_valid_utf8(value)")).isEmpty()
+
+
 def probe_dialect(spark: SparkSession, path: str,
-                  required: Sequence[str] = ("Postcode", "Suburb")) -> tuple[str, str]:
-    """A1: first (encoding, separator) whose header holds the required names
-    (reads only the first line of the input)."""
+                  required: Sequence[str] = ("Postcode", "Suburb"),
+                  probe_lines: int = 100_000) -> tuple[str, str]:
+    """A1: first (encoding, separator) that decodes cleanly and whose header
+    holds the required names (reads the header and a bounded head only)."""
     for enc, sep in DIALECTS:
-        first = spark.read.option("encoding", enc).option("lineSep", "\n").text(path).first()
+        first = spark.read.option("encoding", enc).text(path).first()
         if first is None:
             continue
         names = [_clean_name(x) for x in first[0].split(sep)]
-        if all(r in names for r in required):
+        if all(r in names for r in required) and _decodes_cleanly(spark, path, enc, probe_lines):
             return enc, sep
     raise ValueError(f"no CSV dialect of {path} has columns {list(required)}")
 
