@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estatelens.functions import scalars as S
-from estatelens.operators.common import latest_per_key, materialize
+from estatelens.operators.common import broadcast_checked, latest_per_key, materialize
 
 LISTING_MODEL = T.StructType([
     T.StructField("price", T.StringType()), T.StructField("url", T.StringType()),
@@ -91,7 +91,7 @@ def group_counts(df: DataFrame, group: str, alias: str) -> DataFrame:
     aggregate + join instead of a window, so a hot group is pre-aggregated
     map-side rather than buffered in one task."""
     cnt = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias(alias))
-    return df.drop(alias).join(cnt, group, "left")
+    return df.drop(alias).join(broadcast_checked(cnt), group, "left")
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, count_group: str = "Suburb",

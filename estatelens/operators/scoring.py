@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from estatelens import params as P
 from estatelens.functions import scalars as S
+from estatelens.operators.common import broadcast_checked
 from estatelens.params import DEFAULT, Params
 
 PREDICTION_COLUMNS = [
@@ -112,7 +113,7 @@ def segment_errors(df: DataFrame, actual: str, predicted: str, top_types: DataFr
 def warnings(scored: DataFrame, known_suburbs: DataFrame) -> DataFrame:
     """Weak-segment warnings per listing (luxury, budget, new build,
     suburb unseen in training) as flags plus a compact label array."""
-    ks = known_suburbs.select(F.col("Suburb").alias("__ks")).distinct()
+    ks = broadcast_checked(known_suburbs.select(F.col("Suburb").alias("__ks")).distinct())
     j = scored.join(ks, F.col("Suburb") == F.col("__ks"), "left")
     price = F.col("Predicted_Price")
     flags = {
@@ -128,8 +129,8 @@ def warnings(scored: DataFrame, known_suburbs: DataFrame) -> DataFrame:
 
 def suburb_compare(scored: DataFrame, reference: DataFrame) -> DataFrame:
     """Each estimate next to its suburb's median sale price (% diff)."""
-    return scored.join(reference.select("Suburb", F.col("median_price").alias("suburb_median")),
-                       "Suburb", "left").withColumn(
+    ref = broadcast_checked(reference.select("Suburb", F.col("median_price").alias("suburb_median")))
+    return scored.join(ref, "Suburb", "left").withColumn(
         "vs_suburb_pct", F.bround((F.col("Predicted_Price") / F.col("suburb_median") - 1) * 100, 1))
 
 
