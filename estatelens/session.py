@@ -51,10 +51,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not conf_dir:
+        # local runs only (tests, bench): a cluster names a shared folder
         conf_dir = tempfile.mkdtemp(prefix="estatelens-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        except Exception:  # static in some deployments; the context dir suffices
+            pass
     sc.setCheckpointDir(conf_dir)
-    return conf_dir
+    return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
