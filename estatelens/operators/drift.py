@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.operators.common import materialize
-from estatelens.operators.quantiles import multi_column_percentiles, running_totals
+from estatelens.operators.quantiles import percentiles_from_counts, running_totals
 
 
 def ks_pvalue(d, n1, n2, terms: int = 100):
@@ -33,20 +33,22 @@ def ks_drift(df: DataFrame, features: Sequence[str], group: str, a: str, b: str)
     """Per feature the KS statistic between group ``a`` and ``b``, the
     asymptotic p-value, both medians and sample sizes; desc by statistic."""
     feats = list(features)
-    # The source feeds two jobs (CDFs and medians): write it once.
-    df = materialize(df.where(F.col(group).isin(a, b)).select(group, *feats), "ks-src")
     long = df.where(F.col(group).isin(a, b)).select(
         group, *[F.col(c).cast("double").alias(c) for c in feats]) \
         .unpivot([group], feats, "feature", "value").where(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(
-        F.count_if(F.col(group) == a).alias("na"), F.count_if(F.col(group) == b).alias("nb"))
+    counts = materialize(long.groupBy("feature", "value").agg(
+        F.count_if(F.col(group) == a).alias("na"), F.count_if(F.col(group) == b).alias("nb")),
+        "ks-counts")
     cum = running_totals(counts, ["feature"], "value", ["na", "nb"])
     tot = counts.groupBy("feature").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
     stat = cum.join(tot, "feature").groupBy("feature", "tot_a", "tot_b").agg(
         F.max(F.abs(F.col("cum_na") / F.col("tot_a") - F.col("cum_nb") / F.col("tot_b")))
         .alias("ks_stat"))
-    med = multi_column_percentiles(df.where(F.col(group).isin(a, b)), [group], feats, {"m": 0.5})
-    meds = med.groupBy(F.col("column").alias("feature")).agg(
+    # medians from the same counting pass: one weighted table per group
+    by_group = counts.select("feature", "value", F.lit(a).alias(group), F.col("na").alias("w")) \
+        .unionByName(counts.select("feature", "value", F.lit(b).alias(group), F.col("nb").alias("w")))
+    med = percentiles_from_counts(by_group, ["feature", group], "value", "w", {"m": 0.5})
+    meds = med.groupBy("feature").agg(
         F.max(F.when(F.col(group) == a, F.col("m"))).alias("median_a"),
         F.max(F.when(F.col(group) == b, F.col("m"))).alias("median_b"))
     out = stat.join(meds, "feature", "left")

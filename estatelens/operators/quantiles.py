@@ -73,6 +73,18 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     # step reads this distinct-value table instead of re-running the input.
     counts = materialize(base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")),
                          "pct-counts")
+    return percentiles_from_counts(counts, keys, "__v", "__c", qs, buckets, count_alias)
+
+
+def percentiles_from_counts(counts: DataFrame, keys: Sequence[str], value: str, weight: str,
+                            qs: dict[str, float], buckets: int = 256,
+                            count_alias: str | None = None) -> DataFrame:
+    """Exact percentiles from a table of (keys, distinct value, row count);
+    rows with a zero count are ignored.  Lets several statistics share one
+    counting pass (e.g. the KS job and its medians)."""
+    keys = list(keys)
+    counts = counts.select(*keys, F.col(value).alias("__v"), F.col(weight).alias("__c")) \
+        .where(F.col("__c") > 0)
     cum = running_totals(counts, keys, "__v", ["__c"], buckets)
     n = counts.groupBy(*keys).agg(F.sum("__c").alias("__n"))
     # Target positions (0-based) for each quantile: floor(h) and floor(h)+1.
