@@ -147,10 +147,10 @@ def q_score_requests(spark, sf_dir):
                       "Predicted_Price_Upper", "suburb_median", "vs_suburb_pct", "warnings")
 
 
-@register("weekly_pipeline")
+@register("weekly_update")
 def q_weekly(spark, sf_dir):
     """M1 end to end: clean -> train -> score -> publish (outputs checked)."""
-    from estatelens.plans.pipeline import weekly_update
+    from estatelens.plans.weekly import weekly_update
     from estatelens.session import scratch_dir
     out = weekly_update(spark, base.listings(spark, sf_dir), scratch_dir(spark, "weekly"),
                         boost=QUICK_LOCKED)

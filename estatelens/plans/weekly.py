@@ -4,7 +4,7 @@ The same stages the reference runs as three processes, as one Spark
 application: every stage reads the previous stage's written tables, so a
 failure restarts from the last written stage, not from the raw input.
 
-    python -m estatelens.plans.pipeline --listings <csv or parquet dir> --out <dir>
+    python -m estatelens.plans.weekly --listings <csv or parquet dir> --out <dir>
 """
 
 from __future__ import annotations
