@@ -120,12 +120,20 @@ def boxplot(df: DataFrame, value: str, by: str) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson r for every pair, one aggregate pass."""
+    """Pairwise-complete Pearson r for every pair in one scan.
+
+    Each row is expanded in-stage to one (pair, x, y) record per column
+    pair and a single ``corr`` aggregate runs per pair (``corr`` skips rows
+    where either side is null).  The partial aggregate leaves one row per
+    pair per task, so the shuffle is tiny and the generated code stays
+    small however many pairs there are.
+    """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    long = wide.unpivot([], [f"{a}__{b}" for a, b in pairs], "pair", "r")
-    parts = F.split("pair", "__")
-    return long.select(parts.getItem(0).alias("col_a"), parts.getItem(1).alias("col_b"), "r")
+    recs = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                              F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                     for a, b in pairs])
+    long = df.select(F.explode(recs).alias("r")).select("r.*")
+    return long.groupBy("col_a", "col_b").agg(F.corr("x", "y").alias("r"))
 
 
 def hash_sample(df: DataFrame, n: int, key: str, seed: int = 42, oversample: float = 4.0) -> DataFrame:
