@@ -41,10 +41,26 @@ def q_ks(spark, sf_dir):
                     "n_a", "n_b")
 
 
-@register("ks_drift_pvalues")
+def _ks_p_sql():
+    base_sql = _ks_sql()
+    head = base_sql[:base_sql.index("\nSELECT st.feature")]
+    return head + """,
+lam AS (SELECT feature, ks_stat, Na, Nb,
+          (sqrt(Na * Nb / (Na + Nb)) + 0.12 + 0.11 / sqrt(Na * Nb / (Na + Nb))) * ks_stat AS lam FROM st),
+pv AS (SELECT feature, least(greatest(2 * sum(CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END
+          * exp(-2.0 * k * k * lam * lam)), 0.0), 1.0) AS p_value
+       FROM lam, range(1, 101) t(k) GROUP BY feature)
+SELECT lam.feature, median_a, median_b, round_even(ks_stat, 9) AS ks_stat, round_even(p_value, 9) AS p_value,
+  CAST(Na AS BIGINT) AS n_a, CAST(Nb AS BIGINT) AS n_b
+FROM lam JOIN meds ON lam.feature = meds.feature JOIN pv ON lam.feature = pv.feature"""
+
+
+@register("ks_drift_pvalues", _ks_p_sql())
 def q_ks_p(spark, sf_dir):
     k = D.ks_drift(base.cleaned(spark, sf_dir), DRIFT_COLS, "Status", "Sold", "For Sale")
-    return k.orderBy(F.desc("ks_stat"), "feature")
+    return k.select("feature", "median_a", "median_b", F.bround("ks_stat", 9).alias("ks_stat"),
+                    F.bround("p_value", 9).alias("p_value"), "n_a", "n_b") \
+        .orderBy(F.desc("ks_stat"), "feature")
 
 
 def _cold_sql(col):

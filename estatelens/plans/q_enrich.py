@@ -172,10 +172,30 @@ def q_rail_lenient(spark, sf_dir):
     return rail_stops(spark, sf_dir, DEFAULT.with_(lenient_rail=True))
 
 
-@register("enrich_listings")
+def _enrich_sql():
+    from estatelens.plans.q_spatial import _hav_sql
+    rail_ctes = RAIL_SQL[:RAIL_SQL.index("\nSELECT stop_id")]
+    hav = _hav_sql("Latitude", "Longitude", "stop_lat", "stop_lon")
+    drop = ("abs_median_income_weekly, abs_median_age, abs_population, crime_offence_count, "
+            "crime_rate_per_100k, dist_nearest_train_km")
+    return O.with_listings(DIM_CTES + rail_ctes + f""",
+rs AS (SELECT stop_id, stop_lat, stop_lon FROM firsts
+       WHERE stop_lat BETWEEN -38.6 AND -37.4 AND stop_lon BETWEEN 144.3 AND 145.6),
+pts AS (SELECT DISTINCT Property_ID, Latitude, Longitude FROM listings),
+near AS (SELECT Property_ID, round_even(min({hav}), 3) AS dist_nearest_train_km FROM pts, rs
+         WHERE Latitude IS NOT NULL AND Longitude IS NOT NULL GROUP BY Property_ID)
+SELECT l.* EXCLUDE ({drop}), c.abs_median_income_weekly, c.abs_median_age, c.abs_population,
+  o.crime_offence_count, o.crime_suburb_ref,
+  CASE WHEN c.abs_population > 0 AND o.crime_offence_count IS NOT NULL
+       THEN round_even(o.crime_offence_count / c.abs_population * 100000, 1) END AS crime_rate_per_100k,
+  near.dist_nearest_train_km, DATE '{DEFAULT.as_of.isoformat()}' AS Enriched_Date
+FROM listings l LEFT JOIN census c ON l.Postcode = c.Postcode
+LEFT JOIN offences o ON l.Postcode = o.Postcode LEFT JOIN near ON l.Property_ID = near.Property_ID""")
+
+
+@register("enrich_listings", _enrich_sql())
 def q_enrich(spark, sf_dir):
-    """Full enrichment: census + offences + nearest rail stop (no oracle:
-    composed of the checked parts above)."""
+    """Full enrichment: census + offences + nearest rail stop + stamp."""
     census = EN.census_table(g02(spark, sf_dir), g01(spark, sf_dir))
     off = EN.offences_by_postcode(offences_raw(spark, sf_dir))
     l = base.listings(spark, sf_dir).drop("abs_median_income_weekly", "abs_median_age",
