@@ -76,9 +76,10 @@ def cold_start(df: DataFrame, col: str, group: str, a: str, b: str) -> DataFrame
 def cold_start_examples(df: DataFrame, col: str, group: str, a: str, b: str,
                         n: int = 10) -> DataFrame:
     """First n cold-start values in sorted order (values seen only in b)."""
-    seen = df.where(F.col(group) == a).select(col)
-    new = df.where((F.col(group) == b) & F.col(col).isNotNull()).select(col)
-    return new.join(seen, col, "left_anti").distinct().orderBy(col).limit(n)
+    # distinct first (map-side combined), so a hot value is one row per task
+    seen = df.where(F.col(group) == a).select(col).distinct()
+    new = df.where((F.col(group) == b) & F.col(col).isNotNull()).select(col).distinct()
+    return new.join(seen, col, "left_anti").orderBy(col).limit(n)
 
 
 def id_overlap(df: DataFrame, key: str, group: str, a: str, b: str) -> DataFrame:

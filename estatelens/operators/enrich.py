@@ -135,7 +135,8 @@ def rail_stops(routes: DataFrame, trips: DataFrame, stop_times: DataFrame, stops
     chain keyed by feed); with ``lenient_rail`` a feed without rail routes
     keeps all its stops; feeds are unioned, the first feed wins a shared
     stop_id, and only stops inside the box remain."""
-    rail = routes.where(F.col("route_type").isin(*p.rail_route_types)).select("feed_id", "route_id")
+    rail = broadcast_checked(routes.where(F.col("route_type").isin(*p.rail_route_types))
+                             .select("feed_id", "route_id"))
     rail_trips = trips.join(rail, ["feed_id", "route_id"], "left_semi").select("feed_id", "trip_id")
     served = stop_times.join(rail_trips, ["feed_id", "trip_id"], "left_semi") \
         .select("feed_id", "stop_id").distinct()

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estatelens.operators.common import broadcast_checked
 from estatelens.operators.quantiles import exact_percentiles, multi_column_percentiles
 
 
@@ -110,7 +111,8 @@ def boxplot(df: DataFrame, value: str, by: str) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     fences = q.select(by, (F.col("q1") - 1.5 * iqr).alias("__lof"),
                       (F.col("q3") + 1.5 * iqr).alias("__hif"))
-    j = df.select(by, value).where(F.col(value).isNotNull()).join(fences, by)
+    # fences: one row per category, written and size-checked before broadcast
+    j = df.select(by, value).where(F.col(value).isNotNull()).join(broadcast_checked(fences), by)
     wh = j.groupBy(by).agg(
         F.min(F.when(F.col(value) >= F.col("__lof"), F.col(value))).alias("whisker_lo"),
         F.max(F.when(F.col(value) <= F.col("__hif"), F.col(value))).alias("whisker_hi"),
