@@ -3,7 +3,6 @@ prediction (H13-H17, H19, H20, D25, D26, D28, D29, E8, V1, B19, C13)."""
 
 from pyspark.sql import functions as F
 
-from estatelens.operators import features as FE
 from estatelens.operators import scoring as SC
 from estatelens.operators.quantiles import exact_percentiles
 from estatelens.operators.spatial import suburb_stats

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from estatelens.operators import clean as C
 from estatelens.operators import enrich as EN
 from estatelens.operators import spatial as SP
-from estatelens.operators.common import materialize
 from estatelens.plans import base, standin
 from estatelens.plans import oracle_sql as O
 from estatelens.plans import q_enrich as QE
