@@ -95,3 +95,13 @@ def q_rescore(spark, sf_dir):
             "Predicted_Price_Upper", "Interval_Width_Pct", "Deal_Signal")
     return MB.rescore_stream(spark, src, fs.schema, scratch_dir(spark, "rescored"),
                              scratch_dir(spark, "rescore-work"), score)
+
+
+@register("change_stream_stateful", CHANGE_SQL)
+def q_change_stateful(spark, sf_dir):
+    """S1 via applyInPandasWithState (keyed state store) — same result as the
+    foreachBatch form and the batch lag query."""
+    src, schema = _landed_events(spark, sf_dir)
+    out = MB.change_stream_stateful(spark, src, schema, scratch_dir(spark, "change-state"),
+                                    "user_id", ["ts", "event_id"], ["event_type", "bucket"])
+    return out.select("event_id", "user_id", "event_type", "bucket")

@@ -92,3 +92,50 @@ def rescore_stream(spark: SparkSession, source_dir: str, schema: T.StructType, o
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out_dir).drop("batch")
+
+
+def change_stream_stateful(spark: SparkSession, source_dir: str, schema: T.StructType,
+                           work_dir: str, key: str, order: Sequence[str],
+                           pair: Sequence[str]) -> DataFrame:
+    """S1 as a keyed stateful streaming operator (``applyInPandasWithState``):
+    the state store keeps each key's last pair; every micro-batch emits the
+    key's records whose pair differs from the previous one.  Per key and
+    batch, only that batch's records are in one task (the table never is).
+    Returns the emitted records (memory sink, read back)."""
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    cols = [key, *order, *pair]
+    out_schema = T.StructType([schema[c] for c in cols])
+    state_schema = T.StructType([T.StructField(f"last_{c}", schema[c].dataType) for c in pair])
+
+    def emit(k, batches, state):
+        pdf = pd.concat(list(batches), ignore_index=True).sort_values(list(order), kind="mergesort")
+        vals = pdf[list(pair)].astype(object).where(pdf[list(pair)].notna(), None)
+        prev = vals.shift(1)
+        if state.exists:
+            last = state.get
+            for i, c in enumerate(pair):
+                prev.iloc[0, i] = last[i]
+            first_is_new = False
+        else:
+            first_is_new = True
+        changed = pd.Series(False, index=pdf.index)
+        for c in pair:
+            a, b = vals[c], prev[c]
+            changed |= ~((a.isna() & b.isna()) | (a == b))
+        if first_is_new:
+            changed.iloc[0] = True
+        tail = vals.iloc[-1]
+        state.update(tuple(None if pd.isna(tail[c]) else tail[c] for c in pair))
+        yield pdf.loc[changed.values, cols]
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
+    name = f"changes_{abs(hash(work_dir)) % 10**9}"
+    q = (stream.select(*cols).groupBy(key)
+         .applyInPandasWithState(emit, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+         .writeStream.format("parquet").option("path", f"{work_dir}/out")
+         .option("checkpointLocation", f"{work_dir}/checkpoint").queryName(name)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(out_schema).parquet(f"{work_dir}/out")
