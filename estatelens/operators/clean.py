@@ -139,8 +139,8 @@ def clean(listings: DataFrame, p: Params = DEFAULT, check_caps: bool = True) ->
     # Two consumers (cap fitting, rule application): written once so the
     # parse/drop/dedup work is not repeated.
     flagged = materialize(dedup.withColumn("is_land", land_flag(p)), "flagged")
-    caps = landsize_caps(flagged, p)
-    caps_b = broadcast_checked(caps) if check_caps else caps
+    caps = materialize(landsize_caps(flagged, p), "caps")   # fitted once, reused
+    caps_b = broadcast_checked(caps, materialized=True) if check_caps else caps
     return CleanResult(apply_clean_rules(flagged, caps_b, p), caps, flagged)
 
 

@@ -44,8 +44,7 @@ def cleaned_result(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> Cle
     if hit is not None:
         return hit
     res = clean(listings(spark, sf_dir), p)
-    res = CleanResult(materialize(res.cleaned, "cleaned"), materialize(res.caps, "caps"),
-                      res.flagged)
+    res = CleanResult(materialize(res.cleaned, "cleaned"), res.caps, res.flagged)
     _STAGES[key] = res
     return res
 
