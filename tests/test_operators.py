@@ -129,3 +129,27 @@ def test_hash_sample_equals_global_top_n(spark):
     a = [r.k for r in hash_sample(df, 700, "k").collect()]
     b = [r.k for r in df.orderBy(F.xxhash64("k", F.lit(42)), "k").limit(700).collect()]
     assert a == b
+
+
+def test_changed_only_null_safe(spark):
+    from estatelens.operators.ingest import changed_only
+    state = spark.createDataFrame([("1", "Sold", None), ("2", "For Sale", "$500k")],
+                                  "id string, status string, price string")
+    batch = spark.createDataFrame([("1", "Sold", None), ("2", "For Sale", "$490k"), ("3", "Sold", "$1m")],
+                                  "id string, status string, price string")
+    got = sorted(r.id for r in changed_only(batch, state, "id", ["status", "price"]).collect())
+    assert got == ["2", "3"]          # a missing price matches a missing price
+
+
+def test_pick_boundary_prefers_admin_polygon(spark):
+    from estatelens.operators.spatial import pick_boundary
+    c = spark.createDataFrame([
+        ("carlton ", 0, "place", "suburb", "Point", "[1]"),
+        ("Carlton", 1, "boundary", "suburb", "Polygon", "[2]"),
+        ("Kew", 0, "place", "suburb", "MultiPolygon", "[3]"),
+        ("Kew", 1, "boundary", "administrative", "Point", "[4]"),
+        ("Fitzroy", 0, "highway", "road", "Polygon", "[5]")],
+        "suburb string, pos int, class string, type string, geom_type string, coordinates string")
+    done = spark.createDataFrame([("fitzroy",)], "suburb string")
+    got = {r.suburb_key: r.coordinates for r in pick_boundary(c, done).collect()}
+    assert got == {"CARLTON": "[2]"}  # Kew's boundary is a Point -> dropped; Fitzroy done
