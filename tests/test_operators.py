@@ -153,3 +153,20 @@ def test_pick_boundary_prefers_admin_polygon(spark):
     done = spark.createDataFrame([("fitzroy",)], "suburb string")
     got = {r.suburb_key: r.coordinates for r in pick_boundary(c, done).collect()}
     assert got == {"CARLTON": "[2]"}  # Kew's boundary is a Point -> dropped; Fitzroy done
+
+
+def test_exact_percentiles_property(spark):
+    """Random groups/values (with ties, negatives, one-row groups) vs numpy."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 50)), min_size=1, max_size=60),
+           st.floats(0.0, 1.0))
+    def check(rows, q):
+        pdf = pd.DataFrame(rows, columns=["g", "v"]).astype({"v": "float64"})
+        res = exact_percentiles(spark.createDataFrame(pdf), ["g"], "v", {"p": q}, buckets=4).toPandas()
+        for grp, sub in pdf.groupby("g"):
+            got = res[res.g == grp].p.iloc[0]
+            assert abs(got - sub.v.quantile(q)) < 1e-9
+    check()
