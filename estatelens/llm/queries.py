@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from estatelens.llm import simhash
+from estatelens.llm import decontaminate, mixing, quality, simhash, tokenfiles
 
 
 def queries() -> dict[str, Callable]:
     return {
+        "op3_decontaminate": decontaminate.op3,
         "op4_simhash_golay": simhash.op4,
+        "op5_quality_rules": quality.op5,
+        "op7_source_mix": mixing.op7,
+        "op10_token_planes": tokenfiles.op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_quality_rules": quality.SQL}
