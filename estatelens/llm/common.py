@@ -14,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Bytes of text that one vectorised step holds (a longer document is a slice of its own).
 SLICE_BYTES = 4 << 20
@@ -111,46 +110,60 @@ def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 # ------------------------------------------------------------------ block tables
 
-BLOCK_SCHEMA = "block string, ids binary, sizes binary, body binary"
-
-
 def _to_blocks(batches):
-    """Rows of (row, text) as blocks: ids, byte lengths and zstd-packed bytes."""
+    """Rows of (id, text) as blocks: ids, byte lengths and zstd-packed bytes."""
     import zstandard
     packer = zstandard.ZstdCompressor(level=3)
     for part in slices(batches):
         buf, off = text_buffer(column_of(part, "text"))
-        ids = np.array(column_of(part, "row").to_numpy(zero_copy_only=False), np.int64)
-        yield pa.RecordBatch.from_pydict({
-            "block": [uuid.uuid4().hex], "ids": [ids.tobytes()],
-            "sizes": [np.diff(off).astype("<i8").tobytes()], "body": [packer.compress(buf.tobytes())],
-        })
+        ids = column_of(part, "id")
+        yield pa.RecordBatch.from_arrays([
+            pa.array([uuid.uuid4().hex]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+            pa.array([np.diff(off).astype("<i8").tobytes()], pa.binary()), pa.array([packer.compress(buf.tobytes())], pa.binary())],
+            names=["block", "ids", "sizes", "body"])
 
 
-def unpack_block(ids: bytes, sizes: bytes, body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row ids, bytes, offsets) of one block."""
+def unpack_block(sizes: bytes, body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of one block."""
     import zstandard
-    sizes = np.frombuffer(sizes, "<i8")
-    off = np.concatenate(([0], np.cumsum(sizes)))
+    off = np.concatenate(([0], np.cumsum(np.frombuffer(sizes, "<i8"))))
     raw = zstandard.ZstdDecompressor().decompress(body, max_output_size=max(1, int(off[-1])))
-    return np.frombuffer(ids, np.int64), np.frombuffer(raw, np.uint8), off
+    return np.frombuffer(raw, np.uint8), off
+
+
+def blocks_in(batches) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
+    """(row, bytes, offsets) of every block in Arrow batches of a block table."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {c: column_of(batch, c)[i] for c in batch.schema.names}
+            yield row, *unpack_block(row["sizes"].as_py(), row["body"].as_py())
 
 
-def block_table(docs: DataFrame, name: str) -> DataFrame:
-    """Write (row long, text string) as a table of packed blocks.
+def block_table(docs: DataFrame, id_col: str, text: str, name: str) -> DataFrame:
+    """Write the documents as a table of packed blocks (block, ids, sizes, body).
 
     A block's name is fixed by the written table, so later jobs can send
-    results back to it however tasks are retried."""
-    ship_package(docs.sparkSession)
-    out = docs.select("row", "text").mapInArrow(_to_blocks, BLOCK_SCHEMA)
-    path = new_path(docs.sparkSession, name)
+    results back to it however tasks are retried.  Null text is empty."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    kind = docs.schema[id_col].dataType.simpleString()
+    out = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(
+        _to_blocks, f"block string, ids array<{kind}>, sizes binary, body binary")
+    path = new_path(spark, name)
     out.write.option("compression", "none").parquet(path)
-    return docs.sparkSession.read.schema(out.schema).parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
 
 
-def numbered(df: DataFrame, *columns: str) -> DataFrame:
-    """``df`` with ``row``, a number that tells repeated rows apart (fixed once written)."""
-    return df.select(F.monotonically_increasing_id().alias("row"), *columns)
+def shard_count(blocks: DataFrame) -> int:
+    """Shards of hash space: their number follows the blocks, so a shard's share stays bounded."""
+    return min(1 << 14, max(64, blocks.select("block").count() // 2))
+
+
+def by_shard(hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, bounds): rows sorted by shard (stable), and where each shard begins."""
+    shard = ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    return order, np.searchsorted(shard[order], np.arange(shards + 1))
 
 
 # ------------------------------------------------------------- connected components
@@ -181,7 +194,3 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
         both = after
         if same:
             return both.select(F.col("a").alias("node"), F.col("b").alias("root"))
-
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
