@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from estatelens.llm import decontaminate, mixing, quality, simhash, tokenfiles
+from estatelens.llm import (decontaminate, html_text, licenses, linededup, mixing, quality, simhash, suffixdedup, tokenfiles,
+                            toxicity)
 
 
 def queries() -> dict[str, Callable]:
     return {
+        "op1_suffix_dedup": suffixdedup.op1,
+        "op2_license_scan": licenses.op2,
         "op3_decontaminate": decontaminate.op3,
         "op4_simhash_golay": simhash.op4,
         "op5_quality_rules": quality.op5,
+        "op6_html_text": html_text.op6,
         "op7_source_mix": mixing.op7,
+        "op8_toxicity": toxicity.op8,
+        "op9_line_dedup": linededup.op9,
         "op10_token_planes": tokenfiles.op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": quality.SQL}
+    """Fingerprints, suffix spans, votes, random transfers, models, pages and token files are not SQL."""
+    return {"op5_quality_rules": quality.SQL, "op9_line_dedup": linededup.SQL}
