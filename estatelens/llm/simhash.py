@@ -30,6 +30,7 @@ SEED = 42
 GENERATOR = 0b101011100011
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
 _CHUNK = 1 << 16
+_LOWER = bytes(words.LOWER)
 
 
 def _bit_counts(hashes: list[int]) -> np.ndarray:
@@ -38,10 +39,10 @@ def _bit_counts(hashes: list[int]) -> np.ndarray:
 
 
 def fingerprint(text: bytes, k: int = 4) -> int:
-    """The fingerprint of one whole text; a text without words has 0."""
+    """The fingerprint of one whole text, A-Z lower-cased; a text without words has 0."""
     import xxhash
     one = xxhash.xxh64_intdigest
-    line = b" ".join(text.split())
+    line = b" ".join(text.translate(_LOWER).split())
     if not line:
         return 0
     gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
