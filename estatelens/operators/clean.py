@@ -50,8 +50,8 @@ def dedup_key_order() -> list:
 
 def dedup_recent(df: DataFrame) -> DataFrame:
     """For Sale rows keep the most recent ``Last_Updated`` per id; Sold rows
-    pass untouched (G1 union of both)."""
-    sold = df.where(F.col("Status") != FOR_SALE)
+    pass untouched (G1 union of both); other statuses go."""
+    sold = df.where(F.col("Status") == "Sold")
     fs = latest_per_key(df.where(F.col("Status") == FOR_SALE), ["Property_ID"],
                         dedup_key_order())
     return sold.unionByName(fs)

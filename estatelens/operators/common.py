@@ -52,7 +52,7 @@ def broadcast_checked(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     m = df if materialized else materialize(df)
     n = m.count()
     size = written_bytes(m)
-    small = n <= max_rows and (size is None or size <= max_bytes)
+    small = n <= max_rows and size is not None and size <= max_bytes
     return F.broadcast(m) if small else m
 
 

@@ -8,6 +8,7 @@ for both groups, and the two empirical CDFs come from the skew-safe
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -17,16 +18,24 @@ from estatelens.operators.common import materialize
 from estatelens.operators.quantiles import percentiles_from_counts, running_totals
 
 
-def ks_pvalue(d, n1, n2, terms: int = 100):
+def ks_pvalue(d, n1, n2, terms: int = 8):
     """Asymptotic two-sided p-value (Kolmogorov limit with Stephens'
-    small-sample correction) as a Column expression."""
+    small-sample correction) as a Column expression.
+
+    The limit has two series; each converges within a few terms on its side of
+    lambda = 1, and identical samples (lambda 0) have p = 1."""
     en = F.sqrt(n1 * n2 / (n1 + n2))
     lam = (en + 0.12 + 0.11 / en) * d
     s = None
     for k in range(1, terms + 1):
         t = F.lit((-1.0) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * lam * lam)
         s = t if s is None else s + t
-    return F.least(F.greatest(2 * s, F.lit(0.0)), F.lit(1.0))
+    near = None
+    for k in range(1, terms + 1):
+        t = F.exp(F.lit(-((2 * k - 1) * math.pi) ** 2 / 8) / (lam * lam))
+        near = t if near is None else near + t
+    p = F.when(lam <= 0, 1.0).when(lam < 1, 1 - math.sqrt(2 * math.pi) / lam * near).otherwise(2 * s)
+    return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
 
 
 def ks_drift(df: DataFrame, features: Sequence[str], group: str, a: str, b: str) -> DataFrame:

@@ -123,7 +123,9 @@ def enrich_listings(listings: DataFrame, census: DataFrame, offences: DataFrame,
     out = out.withColumn("crime_rate_per_100k",
                          S.rate_per_100k("crime_offence_count", "abs_population"))
     if nearest is not None:
-        out = out.join(nearest, "Property_ID", "left")
+        # distances belong to an id and its place: one row each, so no listing is doubled
+        place = [c for c in ("Property_ID", "Latitude", "Longitude") if c in nearest.columns]
+        out = out.join(nearest.distinct(), place, "left")
     if as_of is not None:
         out = out.withColumn("Enriched_Date", S.stamp(as_of))
     return out

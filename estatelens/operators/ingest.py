@@ -95,12 +95,15 @@ def group_counts(df: DataFrame, group: str, alias: str) -> DataFrame:
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, count_group: str = "Suburb",
-           count_alias: str = "Propertycount") -> DataFrame:
-    """Old then new, keep the latest row per key, refresh counts."""
+           count_alias: str = "Propertycount", arrival: Sequence[str] = ()) -> DataFrame:
+    """Old then new, keep the latest row per key, refresh counts.  Rows of
+    one key within a batch go by the ``arrival`` columns; rows that tie even
+    there go by their content, so reruns agree."""
     o = old.withColumn("__seq", F.lit(0))
     n = new.withColumn("__seq", F.lit(1))
     both = o.unionByName(n, allowMissingColumns=True)
-    kept = keep_last(both, [key], ["__seq"]).drop("__seq")
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in both.columns])
+    kept = keep_last(both, [key], ["__seq", *arrival, content]).drop("__seq")
     return group_counts(kept, count_group, count_alias)
 
 

@@ -47,9 +47,9 @@ def _ks_p_sql():
     return head + """,
 lam AS (SELECT feature, ks_stat, Na, Nb,
           (sqrt(Na * Nb / (Na + Nb)) + 0.12 + 0.11 / sqrt(Na * Nb / (Na + Nb))) * ks_stat AS lam FROM st),
-pv AS (SELECT feature, least(greatest(2 * sum(CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END
-          * exp(-2.0 * k * k * lam * lam)), 0.0), 1.0) AS p_value
-       FROM lam, range(1, 101) t(k) GROUP BY feature)
+pv AS (SELECT feature, CASE WHEN lam = 0 THEN 1.0 ELSE greatest(1 - sqrt(2 * pi()) / lam
+          * sum(exp(0 - ((2 * k - 1) * pi()) ** 2 / (8 * greatest(lam, 1e-9) ** 2))), 0.0) END AS p_value
+       FROM lam, range(1, 2001) t(k) GROUP BY feature, lam)
 SELECT lam.feature, median_a, median_b, round_even(ks_stat, 9) AS ks_stat, round_even(p_value, 9) AS p_value,
   CAST(Na AS BIGINT) AS n_a, CAST(Nb AS BIGINT) AS n_b
 FROM lam JOIN meds ON lam.feature = meds.feature JOIN pv ON lam.feature = pv.feature"""

@@ -10,9 +10,11 @@ from estatelens.plans import base
 from estatelens.plans import oracle_sql as O
 from estatelens.plans.registry import register
 
+# The columns of the correlation matrix, in their published order.
 CORR_COLS = ["Numeric_Price", "Beds", "Baths", "Car_Spaces", "LandSize_sqm",
-             "Distance_to_CBD_km", "dist_nearest_train_km", "abs_median_income_weekly",
-             "abs_median_age", "abs_population", "crime_rate_per_100k", "Propertycount"]
+             "Distance_to_CBD_km", "dist_nearest_train_km", "Propertycount",
+             "abs_median_income_weekly", "abs_median_age", "abs_population",
+             "crime_rate_per_100k"]
 ENRICH_COLS = ["abs_median_income_weekly", "abs_median_age", "abs_population",
                "crime_offence_count", "crime_rate_per_100k", "dist_nearest_train_km"]
 RAW_COLS = ["Property_Type", "Date", "Beds", "Baths", "Car_Spaces", "LandSize_sqm",

@@ -107,7 +107,8 @@ SELECT pts.Property_ID, round_even(dmin, 3) AS dist_nearest_train_km FROM pts LE
 ON pts.Property_ID = d.Property_ID"""))
 def q_nearest_stop(spark, sf_dir):
     pts = base.listings(spark, sf_dir).select("Property_ID", "Latitude", "Longitude").distinct()
-    return SP.nearest_distance_km(pts, stops(spark, sf_dir), "Property_ID", "Latitude", "Longitude")
+    return SP.nearest_distance_km(pts, stops(spark, sf_dir), "Property_ID", "Latitude", "Longitude") \
+        .select("Property_ID", "dist_nearest_train_km")
 
 
 @register("haversine_cbd", O.with_listings(f"""

@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     if not conf_dir:
         # local runs only (tests, bench): a cluster names a shared folder
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="estatelens-ckpt-", dir="/tmp")
         try:
             spark.conf.set("spark.checkpoint.dir", conf_dir)

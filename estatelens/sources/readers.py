@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,60 +44,58 @@ def _clean_name(c: str) -> str:
     return c.strip().lstrip("\ufeff").strip()
 
 
-def _decodes_cleanly(spark: SparkSession, path: str, enc: str, probe_lines: int) -> bool:
-    """No replacement characters in the first ``probe_lines`` decoded lines
-    (a bounded probe instead of a full pass over a large input)."""
+def _decodes_cleanly(spark: SparkSession, path: str, enc: str) -> bool:
+    """Every line of the input is valid in ``enc`` (one distributed pass)."""
     if enc.upper().startswith("ISO-8859"):
         return True                      # every byte sequence is valid Latin-1
-    head = spark.read.text(path).limit(probe_lines)     # raw bytes as read
-    return head.where(~F.expr("is_valid_utf8(value)")).isEmpty()
+    return spark.read.text(path).where(~F.expr("is_valid_utf8(value)")).isEmpty()
 
 
 def probe_dialect(spark: SparkSession, path: str,
-                  required: Sequence[str] = ("Postcode", "Suburb"),
-                  probe_lines: int = 100_000) -> tuple[str, str]:
-    """A1: first (encoding, separator) that decodes cleanly and whose header
-    holds the required names (reads the header and a bounded head only)."""
-    for enc, sep in DIALECTS:
-        first = spark.read.option("encoding", enc).text(path).first()
-        if first is None:
-            continue
+                  required: Sequence[str] = ("Postcode", "Suburb")) -> tuple[str, str]:
+    """A1: first (encoding, separator) whose header holds the required names
+    and in which the whole input decodes."""
+    first = spark.read.text(path).first()
+    for enc, sep in DIALECTS if first is not None else ():
         names = [_clean_name(x) for x in first[0].split(sep)]
-        if all(r in names for r in required) and _decodes_cleanly(spark, path, enc, probe_lines):
+        if all(r in names for r in required) and _decodes_cleanly(spark, path, enc):
             return enc, sep
     raise ValueError(f"no CSV dialect of {path} has columns {list(required)}")
 
 
+def _typed(c: Column, t: T.DataType) -> Column:
+    """A cell as ``t``; null tokens, NaN and cells that do not parse are null."""
+    c = F.when(~F.trim(c).isin(*NULL_TOKENS), c)
+    if isinstance(t, T.StringType):
+        return c
+    if isinstance(t, T.IntegralType):        # "3101.0" is 3101
+        return F.trim(c).try_cast("double").try_cast(t)
+    v = F.trim(c).try_cast(t)
+    return F.when(~F.isnan(v), v) if isinstance(t, T.FractionalType) else v
+
+
 def read_listings_csv(spark: SparkSession, path: str,
                       schema: T.StructType = ENRICHED_SCHEMA) -> DataFrame:
-    """A1 + A2 + T1/T3/T4: dialect probe, explicit schema, null tokens ->
-    NULL (all string columns), NaN -> NULL, over-long rows dropped (short
-    rows are kept and padded with nulls)."""
+    """A1 + A2 + T1/T3/T4: dialect probe, every cell read as a string and cast
+    afterwards, so that a bad cell is null and never costs its row.  Rows with
+    more fields than the header are dropped (separators inside quotes do not
+    count), short rows are padded with nulls.  Quoted line breaks are kept: only
+    an input that has them is read record by record instead of in splits."""
     enc, sep = probe_dialect(spark, path)
-    header = spark.read.option("encoding", enc).text(path).first()[0]
-    names = [_clean_name(x) for x in header.split(sep)]
-    fields = {f.name: f for f in schema.fields}
-    file_schema = T.StructType([T.StructField(n, fields[n].dataType if n in fields else T.StringType())
-                                for n in names] + [T.StructField("_corrupt", T.StringType())])
+    names = [_clean_name(x) for x in spark.read.text(path).first()[0].split(sep)]
+    fields = {f.name: f.dataType for f in schema.fields}
+    open_quote = F.pmod(F.length("value") - F.length(F.translate("value", '"', "")), F.lit(2)) == 1
+    spans_lines = not spark.read.text(path).where(open_quote).isEmpty()
+    file_schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_corrupt"]])
     df = (spark.read.schema(file_schema).option("header", True).option("sep", sep)
-          .option("encoding", enc).option("mode", "PERMISSIVE").option("nanValue", "NaN")
+          .option("encoding", enc).option("mode", "PERMISSIVE").option("escape", '"')
+          .option("multiLine", spans_lines)
           .option("columnNameOfCorruptRecord", "_corrupt").option("enforceSchema", True).csv(path))
-    # Over-long lines (more fields than the header) are corrupt -> dropped;
-    # short lines parse with trailing nulls, as the reference keeps them.
-    n_sep = len(names) - 1
-    too_long = F.col("_corrupt").isNotNull() & (
-        F.size(F.split(F.col("_corrupt"), sep if sep != "\t" else "\t")) > n_sep + 1)
-    df = df.where(~F.coalesce(too_long, F.lit(False))).drop("_corrupt")
-    out = []
-    for n in names:
-        c = F.col(f"`{n}`")
-        t = fields[n].dataType if n in fields else T.StringType()
-        if isinstance(t, T.StringType):
-            c = F.when(~F.trim(c).isin(*NULL_TOKENS), c)
-        elif isinstance(t, T.DoubleType):
-            c = F.when(~F.isnan(c), c)
-        out.append(c.alias(n))
-    return df.select(*out)
+    # all columns are strings: only a wrong number of fields marks a row
+    bare = F.regexp_replace("_corrupt", '"(?:[^"]|"")*"', "")
+    too_long = F.size(F.split(bare, sep, -1)) > len(names)
+    df = df.where(~F.coalesce(F.col("_corrupt").isNotNull() & too_long, F.lit(False))).drop("_corrupt")
+    return df.select(*[_typed(F.col(f"`{n}`"), fields.get(n, T.StringType())).alias(n) for n in names])
 
 
 def read_string_table(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -108,22 +106,35 @@ def read_string_table(spark: SparkSession, path: str, sep: str = ",") -> DataFra
 def read_feed_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A4: one table of every unpacked transit feed under ``root``
     (``root/feed_id=<feed>/<table>`` or ``root/<feed>/<table>``); the feed id
-    comes from the file path, and only the referenced columns are parsed."""
-    df = spark.read.option("header", True).option("basePath", root).csv(f"{root}/*/{table}")
-    if "feed_id" in df.columns:
-        return df
-    feed = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return df.withColumn("feed_id", feed)
+    comes from the file path.  Each feed has its own column order: files are
+    grouped by header (one line per feed is looked at) and joined by name."""
+    files = spark.read.option("basePath", root).text(f"{root}/*/{table}").inputFiles()
+    by_header: dict[str, list[str]] = {}
+    for f in sorted(files):
+        first = spark.read.text(f).first()
+        if first is not None:
+            by_header.setdefault(first[0], []).append(f)
+    out = None
+    for paths in by_header.values():
+        df = spark.read.option("header", True).option("basePath", root).csv(paths)
+        df = df.toDF(*[_clean_name(c) for c in df.columns])
+        if "feed_id" not in df.columns:
+            df = df.withColumn("feed_id", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no {table} under {root}")
+    return out
 
 
 def read_geojson_features(spark: SparkSession, path: str) -> DataFrame:
-    """Line-delimited GeoJSON features (one Feature per line)."""
-    schema = T.StructType([
-        T.StructField("type", T.StringType()),
-        T.StructField("properties", T.StructType([T.StructField("suburb", T.StringType())])),
-        T.StructField("geometry", T.StructType([T.StructField("type", T.StringType()),
-                                                T.StructField("coordinates", T.StringType())]))])
-    f = spark.read.schema(schema).json(path)
-    return f.select(F.col("properties.suburb").alias("suburb_key"),
-                    F.col("geometry.type").alias("geom_type"),
+    """GeoJSON boundaries, either one Feature per line or a
+    FeatureCollection per line or file; ``coordinates`` is their JSON text."""
+    feature = "struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>"
+    schema = f"properties map<string,string>, geometry struct<type:string,coordinates:string>, features array<{feature}>"
+    broken = spark.read.text(path).where("trim(value) <> '' AND try_parse_json(value) IS NULL")
+    lines = spark.read.schema(schema).option("multiLine", not broken.isEmpty()).json(path)
+    one = F.when(F.col("geometry").isNotNull(), F.array(F.struct("properties", "geometry")))
+    f = lines.select(F.explode(F.coalesce("features", one)).alias("f")).select("f.*")
+    name = F.coalesce(F.col("properties")["Suburb"], F.col("properties")["suburb"])
+    return f.select(name.alias("suburb_key"), F.col("geometry.type").alias("geom_type"),
                     F.col("geometry.coordinates").alias("coordinates"))

@@ -23,11 +23,13 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8")
 
 
 def write_geojson_features(df: DataFrame, path: str, mode: str = "append") -> None:
-    """One GeoJSON Feature per line (RFC 8142 style), appendable."""
-    feat = df.select(F.lit("Feature").alias("type"),
-                     F.struct(F.col("suburb_key").alias("suburb")).alias("properties"),
-                     F.struct(F.col("geom_type").alias("type"), F.col("coordinates")).alias("geometry"))
-    feat.write.mode(mode).json(path)
+    """One GeoJSON Feature per line (RFC 8142 style), appendable; the
+    coordinates (JSON text) are written as the arrays they are."""
+    properties = F.to_json(F.struct(F.col("suburb_key").alias("Suburb")))
+    head = F.to_json(F.struct(F.col("geom_type").alias("type")))
+    geometry = F.concat(F.rtrim(head, F.lit("}")), F.lit(',"coordinates":'), F.coalesce(F.translate("coordinates", "\r\n", ""), F.lit("null")), F.lit("}"))
+    line = F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), geometry, F.lit("}"))
+    df.select(line.alias("value")).write.mode(mode).text(path)
 
 
 def check_outputs(spark: SparkSession, expected: dict[str, Sequence[str]]) -> DataFrame:

@@ -39,3 +39,65 @@ def test_latin1_comma(spark):
     assert sep == ","
     r = read_listings_csv(spark, path).first()
     assert r.Suburb == "Brunswick Éast" and r.Numeric_Price == 410000.0
+
+
+def test_csv_keeps_rows_with_bad_cells(spark, tmp_path):
+    """A quoted separator, a bad number, "3101.0", a quoted line break, short, long and late non-UTF-8 rows."""
+    from estatelens.sources.readers import read_listings_csv
+    names = ["Property_ID", "Full_Address", "Suburb", "Postcode", "LandSize_sqm"]
+    rows = ['1,"1 A St, B",B,3101,10.5', '2,"2 A St, B",B,3101.0,N/A', '3,"3 ""A"" St, B",B,3101,oops',
+            '4,"4 A\nSt, B",B,3101,7', "5,short", "6,a,b,c,1,too,long", "7,É,B,3101,8"]
+    for enc in ("utf-8", "latin-1"):
+        path = tmp_path / f"{enc}.csv"
+        path.write_bytes("\n".join([",".join(names), *rows]).encode(enc) + b"\n")
+        got = {r.Property_ID: r for r in read_listings_csv(spark, str(path)).collect()}
+        assert sorted(got) == ["1", "2", "3", "4", "5", "7"]
+        assert got["1"].Full_Address == "1 A St, B" and got["1"].LandSize_sqm == 10.5
+        assert got["2"].LandSize_sqm is None and float(got["2"].Postcode) == 3101
+        assert got["3"].LandSize_sqm is None and got["4"].Full_Address == "4 A\nSt, B"
+        assert got["5"].Suburb is None and got["7"].Full_Address == "É"
+
+
+def test_feeds_are_read_by_name(spark, tmp_path):
+    from estatelens.sources.readers import read_feed_table
+    for feed, head, row in (("a", "stop_id,stop_lat,stop_lon", "s1,-37.8,144.9"), ("b", "stop_lat,stop_id,stop_lon", "-37.9,s2,145.0")):
+        (tmp_path / feed).mkdir()
+        (tmp_path / feed / "stops.txt").write_text(f"{head}\n{row}\n")
+    got = read_feed_table(spark, str(tmp_path), "stops.txt")
+    assert {(r.feed_id, r.stop_id, r.stop_lat) for r in got.collect()} == {("a", "s1", "-37.8"), ("b", "s2", "-37.9")}
+
+
+def test_geojson_collection_and_arrays(spark, tmp_path):
+    import json
+
+    from estatelens.sources.readers import read_geojson_features
+    from estatelens.sources.sinks import write_geojson_features
+    shape = [[[144.1, -37.5], [144.2, -37.5], [144.1, -37.5]]]
+    feature = lambda s: {"type": "Feature", "properties": {"Suburb": s}, "geometry": {"type": "Polygon", "coordinates": shape}}
+    (tmp_path / "c.json").write_text(json.dumps({"type": "FeatureCollection", "features": [feature("A"), feature("B")]}, indent=1))
+    got = read_geojson_features(spark, str(tmp_path / "c.json"))
+    assert {(r.suburb_key, r.geom_type) for r in got.collect()} == {("A", "Polygon"), ("B", "Polygon")}
+    assert all(json.loads(r.coordinates) == shape for r in got.collect())
+    out = str(tmp_path / "out")
+    write_geojson_features(got, out, "overwrite")
+    lines = [json.loads(r.value) for r in spark.read.text(out).collect()]
+    assert sorted(x["properties"]["Suburb"] for x in lines) == ["A", "B"] and all(x["geometry"]["coordinates"] == shape for x in lines)
+    assert read_geojson_features(spark, out).count() == 2
+
+
+def test_ks_p_values(spark):
+    from pyspark.sql import functions as F
+
+    from estatelens.operators.drift import ks_pvalue
+    rows = [(0.0, 1000.0), (0.0005, 1000.0), (0.02, 1000.0), (0.05, 1000.0), (0.3, 1000.0)]
+    df = spark.createDataFrame(rows, "d double, n double").select("d", ks_pvalue(F.col("d"), F.col("n"), F.col("n")).alias("p"))
+    p = [r.p for r in df.orderBy("d").collect()]
+    assert p[0] == 1.0 and p[1] > 0.999999 and p == sorted(p, reverse=True) and p[4] < 1e-10
+
+
+def test_nearest_distance_is_per_row(spark):
+    from estatelens.operators.spatial import nearest_distance_km
+    points = spark.createDataFrame([("x", -37.8, 144.9), ("x", -37.8, 145.3), ("y", None, 1.0)], "id string, lat double, lon double")
+    stops = spark.createDataFrame([("s", -37.8, 144.9)], "stop_id string, stop_lat double, stop_lon double")
+    got = nearest_distance_km(points, stops, "id", "lat", "lon").collect()
+    assert len(got) == 3 and {(r.id, r.dist_nearest_train_km == 0) for r in got if r.lat} == {("x", True), ("x", False)}
