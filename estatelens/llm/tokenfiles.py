@@ -31,7 +31,7 @@ BLOCK = 1 << 16
 CHUNK_IDS = 1 << 20
 END_ID = 2
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 _TAIL = ".,!?;:#$%&*"
 
 
