@@ -70,6 +70,19 @@ def drop_written(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_held: dict = {}
+
+
+def held(key, make):
+    """What ``make`` returns, remembered by this worker until it is asked for another key.
+
+    A worker that goes on to another stage so lets go of the last stage's large tables."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

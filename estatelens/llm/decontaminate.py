@@ -186,16 +186,6 @@ class Scanner:
         return starts[long], ends[long]
 
 
-_scanners: dict[str, Scanner] = {}
-
-
-def _scanner(key: str, items: list[tuple[str, str]], window: int) -> Scanner:
-    if key not in _scanners:
-        _scanners.clear()  # one block's automaton at a time
-        _scanners[key] = Scanner(items, window)
-    return _scanners[key]
-
-
 def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -219,7 +209,7 @@ def _pass(items: list[tuple[str, str]], window: int, text: str, names: list[str]
     key = hashlib.sha256(repr((items, window)).encode()).hexdigest()
 
     def run(batches):
-        scan = _scanner(key, items, window)
+        scan = common.held(("items", key), lambda: Scanner(items, window))
         for part in common.slices(batches, text):
             buf, off = common.text_buffer(common.column_of(part, text))
             buf = words.LOWER[buf]

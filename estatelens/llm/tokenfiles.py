@@ -15,8 +15,10 @@ ids of the part before the chunk, ids in it, document ids and the chunk itself.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
+import unicodedata
 import zlib
 
 import numpy as np
@@ -33,6 +35,8 @@ END_ID = 2
 #: Words whose ids a worker remembers.
 CACHE_WORDS = 400_000
 _TAIL = ".,!?;:#$%&*"
+#: Fixed value: how a tokenizer that drops white space cuts words (its first pre-tokenizer).
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def default_tokenizer() -> str:
@@ -78,21 +82,44 @@ def unpack_chunk(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 # ---------------------------------------------------------------------- encoding
 
+def drops_white_space(definition: dict) -> bool:
+    """Whether a tokenizer cuts lower-cased words by ``WORD_PATTERN`` alone, so that white space only parts them."""
+    steps = (definition.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    folds = [n.get("type") for n in (definition.get("normalizer") or {}).get("normalizers") or []]
+    return (steps[0].get("pattern") == {"Regex": WORD_PATTERN} and steps[0].get("invert") is True
+            and steps[0].get("behavior") == "Removed" and [x["type"] for x in steps[1:]] == ["ByteLevel"]
+            and steps[1].get("use_regex") is False and not steps[1].get("add_prefix_space")
+            and folds == ["NFC", "Replace", "Lowercase"] and definition.get("post_processor") is None
+            and not any(definition.get(x) for x in ("truncation", "padding"))
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or len(t["content"].split()) != 1
+                        for t in definition.get("added_tokens") or []))
+
+
+def _letters(core: bytes) -> bool:
+    """Whether ``core`` is still letters alone once the tokenizer has composed and lower-cased it."""
+    return unicodedata.normalize("NFC", core.decode("utf-8", "replace")).lower().isalpha()
+
+
 class Encoder:
-    """Ids of whole texts, word by word.
+    """Ids of whole texts, those of the library.
 
-    White space always ends a token here, so a text's ids are those of its
-    pieces between white space.  Pieces are encoded by the library and their ids
-    remembered; letters before closing marks are one token's worth of their own."""
+    Where white space only parts tokens, a text's ids are those of its pieces
+    between white space: pieces are encoded by the library and their ids
+    remembered, letters before closing marks apart.  Any other tokenizer gets
+    the whole texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = drops_white_space(json.loads(self.tokenizer.to_str()))
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        if not self.by_word:
+            whole = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+            return [np.array(one.ids, "<u4").tobytes() for one in whole]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         pieces = [t.split() for t in texts]
@@ -112,7 +139,7 @@ class Encoder:
                         other.add(word[len(core):])
                 if core not in self.known:
                     plain.add(core)
-            elif core and core != word and core.decode("utf-8", "replace").isalpha():
+            elif core and core != word and _letters(core):
                 parts[word] = core, word[len(core):]
                 other.update(x for x in parts[word] if x not in self.known)
             else:
@@ -130,17 +157,12 @@ class Encoder:
             self.known[word] = self.known[core] + self.known[tail]
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def _write_chunks(tokenizer: str, id_col: str, id_type: pa.DataType, end_id: int, chunk_ids: int, block: int):
     end = struct.pack("<I", end_id)
 
     def run(batches):
         from pyspark import TaskContext
-        if tokenizer not in _encoders:
-            _encoders[tokenizer] = Encoder(tokenizer)
-        encoder = _encoders[tokenizer]
+        encoder = common.held(("tokens", tokenizer), lambda: Encoder(tokenizer))
         part, place, before = TaskContext.get().partitionId(), 0, 0
         names: list = []
         held: list[bytes] = []

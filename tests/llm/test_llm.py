@@ -440,6 +440,19 @@ def test_token_files(spark, docs, rows, tmp_path):
         start += r.n_tokens
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_is_the_library(name):
+    """Letters that compose, or turn into a letter and a mark, before closing marks; white space that counts."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(name)
+    library, encoder = Tokenizer.from_file(path), tokenfiles.Encoder(path)
+    texts = ["", "  two  spaces\n\nand lines ", "\u0130. \u0130, x", "\u0915\u093c. \u0958.", "\u00dcn\u00ef. e\u0301. \u0301. a\u00a0b.",
+             "\uac00. \u1100\u1161.", "\ufb01. \u01c5, \u0391\u03a3.", "<|endoftext|>. hi<|endoftext|>x <|start", "''s. don't!?"]
+    for text, got in zip(texts, encoder.encode([t.encode() for t in texts])):
+        assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 # ---------------------------------------------------------------------- everything
 
 def test_empty_tables(spark, empty):
