@@ -3,6 +3,8 @@ text slices, block tables and a distributed connected-components job."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -103,18 +105,31 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in slices of at most ``SLICE_BYTES`` of text."""
+def give_back() -> None:
+    """Return memory that this worker has freed, and the allocators still keep, to the machine.
+
+    Spark keeps idle workers for the next stage; without this they hold their highest use."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of at most ``size`` bytes of text; frees memory at the end."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, off = text_buffer(batch.column(batch.schema.get_field_index(text)))
         at = 0
         while at < batch.num_rows:
-            to = int(np.searchsorted(off, off[at] + SLICE_BYTES, "right")) - 1
+            to = int(np.searchsorted(off, off[at] + size, "right")) - 1
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to
+    batch = None
+    give_back()
 
 
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:

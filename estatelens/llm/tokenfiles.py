@@ -34,6 +34,8 @@ CHUNK_IDS = 1 << 20
 END_ID = 2
 #: Words whose ids a worker remembers.
 CACHE_WORDS = 400_000
+#: Bytes of text whose words are held at once (a longer document is a slice of its own).
+SLICE_BYTES = 1 << 20
 _TAIL = ".,!?;:#$%&*"
 #: Fixed value: how a tokenizer that drops white space cuts words (its first pre-tokenizer).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -180,7 +182,7 @@ def _write_chunks(tokenizer: str, id_col: str, id_type: pa.DataType, end_id: int
             names, held, size = [], [], 0
             return row
 
-        for piece in common.slices(batches):
+        for piece in common.slices(batches, size=SLICE_BYTES):
             buf, off = common.text_buffer(common.column_of(piece, "text"))
             raw = buf.tobytes()
             found = encoder.encode([raw[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist())])
@@ -232,6 +234,7 @@ def read_tokens(spark, path: str, id_col: str = "doc_id") -> DataFrame:
                     row["ids"].values, pa.array(np.full(len(lengths), row["part"].as_py(), np.int32)),
                     pa.array(row["before"].as_py() + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())],
                     names=["id", "part", "at", "n_tokens", "ids_crc32"])
+        common.give_back()
 
     docs = chunks.mapInArrow(run, f"id {id_type}, part int, at long, n_tokens long, ids_crc32 long")
     # one row per part
