@@ -33,7 +33,7 @@ BLOCK = 1 << 16
 CHUNK_IDS = 1 << 20
 END_ID = 2
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 #: Bytes of text whose words are held at once (a longer document is a slice of its own).
 SLICE_BYTES = 1 << 20
 _TAIL = ".,!?;:#$%&*"
@@ -97,6 +97,10 @@ def drops_white_space(definition: dict) -> bool:
                         for t in definition.get("added_tokens") or []))
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _letters(core: bytes) -> bool:
     """Whether ``core`` is still letters alone once the tokenizer has composed and lower-cased it."""
     return unicodedata.normalize("NFC", core.decode("utf-8", "replace")).lower().isalpha()
@@ -121,42 +125,43 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of each text."""
         if not self.by_word:
             whole = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
-            return [np.array(one.ids, "<u4").tobytes() for one in whole]
+            return [_packed(one.ids) for one in whole]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         pieces = [t.split() for t in texts]
-        self._learn({w for p in pieces for w in p} - self.known.keys())
+        self._learn(set().union(*pieces).difference(self.known))
         ids = self.known.__getitem__
         return [b"".join(map(ids, p)) for p in pieces]
 
     def _learn(self, new: set[bytes]) -> None:
-        parts: dict[bytes, tuple[bytes, bytes]] = {}
+        known, marks = self.known, _TAIL.encode()
+        parts: list[tuple[bytes, bytes, bytes]] = []
         plain, other = set(), set()
         for word in new:
-            core = word.rstrip(_TAIL.encode())
-            if core and core.isalpha():  # letters a-z alone
-                if core != word:
-                    parts[word] = core, word[len(core):]
-                    if word[len(core):] not in self.known:
-                        other.add(word[len(core):])
-                if core not in self.known:
-                    plain.add(core)
+            core = word.rstrip(marks)
+            if core.isalpha():  # letters a-z alone
+                plain.add(core)
             elif core and core != word and _letters(core):
-                parts[word] = core, word[len(core):]
-                other.update(x for x in parts[word] if x not in self.known)
+                other.add(core)
             else:
                 other.add(word)
+                continue
+            if core != word:
+                tail = word[len(core):]
+                other.add(tail)
+                parts.append((word, core, tail))
+        plain, other = plain.difference(known), other.difference(known)
         model = self.tokenizer.model.tokenize
         for word in plain:
-            self.known[word] = np.array([t.id for t in model(word.decode().lower())], "<u4").tobytes()
+            known[word] = _packed([t.id for t in model(word.lower().decode("ascii"))])
         rest = list(other)
         for at in range(0, len(rest), 10_000):
             some = rest[at:at + 10_000]
             found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
             for word, one in zip(some, found):
-                self.known[word] = np.array(one.ids, "<u4").tobytes()
-        for word, (core, tail) in parts.items():
-            self.known[word] = self.known[core] + self.known[tail]
+                known[word] = _packed(one.ids)
+        for word, core, tail in parts:
+            known[word] = known[core] + known[tail]
 
 
 def _write_chunks(tokenizer: str, id_col: str, id_type: pa.DataType, end_id: int, chunk_ids: int, block: int):
