@@ -36,7 +36,15 @@ END_ID = 2
 CACHE_WORDS = 800_000
 #: Bytes of text whose words are held at once (a longer document is a slice of its own).
 SLICE_BYTES = 1 << 20
+#: Bytes of the longest word whose ids are remembered.
+LONGEST_KNOWN = 256
 _TAIL = ".,!?;:#$%&*"
+_MARKS = _TAIL.encode()
+_IS_MARK, _IS_LETTER = np.zeros((2, 256), bool)
+_IS_MARK[list(_MARKS)] = True
+_IS_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+#: First character behind the Latin blocks, whose letters and cases are the same in all Unicode versions in use.
+_LATIN_END = "\u0250"
 #: Fixed value: how a tokenizer that drops white space cuts words (its first pre-tokenizer).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -101,25 +109,63 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _letters(core: bytes) -> bool:
-    """Whether ``core`` is still letters alone once the tokenizer has composed and lower-cased it."""
-    return unicodedata.normalize("NFC", core.decode("utf-8", "replace")).lower().isalpha()
+def _byte_characters() -> list[str]:
+    """The character that byte-level tokens have for each byte: visible ones stand for themselves."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(0x100, 0x200))
+    return [chr(b if b in visible else next(hidden)) for b in range(256)]
+
+
+class WordIds(dict):
+    """Ids of words, found when first asked for and remembered.
+
+    Words of Latin letters, marks behind them or not, go straight to the
+    tokenizer's merges: they are one token to be merged, whatever the Unicode
+    version.  Any other word is encoded whole by the library."""
+
+    def __init__(self, tokenizer):
+        self.encode, self.merges = tokenizer.encode, tokenizer.model.tokenize
+        self.spelling = dict(enumerate(_byte_characters()))
+
+    def __missing__(self, word: bytes) -> bytes:
+        if word.isalpha():  # letters a-z alone
+            ids = self._merged(word.lower().decode("ascii"))
+        else:
+            core = word.rstrip(_MARKS)
+            letters = unicodedata.normalize("NFC", core.decode("utf-8", "replace")).lower()
+            if letters.isalpha() and max(letters) < _LATIN_END:
+                ids = self._merged(letters.encode().decode("latin-1").translate(self.spelling))
+                if core != word:
+                    ids += self[word[len(core):]]
+            else:
+                ids = _packed(self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
+        if len(word) <= LONGEST_KNOWN:
+            self[word] = ids
+        return ids
+
+    def _merged(self, letters: str) -> bytes:
+        return _packed([t.id for t in self.merges(letters)])
 
 
 class Encoder:
     """Ids of whole texts, those of the library.
 
     Where white space only parts tokens, a text's ids are those of its pieces
-    between white space: pieces are encoded by the library and their ids
-    remembered, letters before closing marks apart.  Any other tokenizer gets
-    the whole texts."""
+    between white space (:class:`WordIds`).  A mark behind a letter a-z always
+    begins a token, so it is parted from it, and A-Z is lower-cased first unless
+    a text holds combining marks (which may join small letters only) or an added
+    token.  Any other tokenizer gets the whole texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_word = drops_white_space(json.loads(self.tokenizer.to_str()))
-        self.known: dict[bytes, bytes] = {}
+        definition = json.loads(self.tokenizer.to_str())
+        self.by_word = drops_white_space(definition)
+        self.known = WordIds(self.tokenizer)
+        added = [t["content"].encode() for t in definition.get("added_tokens") or []]
+        self.case_matters = [b"\xcc", b"\xcd", *(x.lower() for x in added)]
+        self.parts_marks = not any(m in x for x in added for m in _MARKS)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -128,40 +174,18 @@ class Encoder:
             return [_packed(one.ids) for one in whole]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        pieces = [t.split() for t in texts]
-        self._learn(set().union(*pieces).difference(self.known))
         ids = self.known.__getitem__
-        return [b"".join(map(ids, p)) for p in pieces]
-
-    def _learn(self, new: set[bytes]) -> None:
-        known, marks = self.known, _TAIL.encode()
-        parts: list[tuple[bytes, bytes, bytes]] = []
-        plain, other = set(), set()
-        for word in new:
-            core = word.rstrip(marks)
-            if core.isalpha():  # letters a-z alone
-                plain.add(core)
-            elif core and core != word and _letters(core):
-                other.add(core)
-            else:
-                other.add(word)
-                continue
-            if core != word:
-                tail = word[len(core):]
-                other.add(tail)
-                parts.append((word, core, tail))
-        plain, other = plain.difference(known), other.difference(known)
-        model = self.tokenizer.model.tokenize
-        for word in plain:
-            known[word] = _packed([t.id for t in model(word.lower().decode("ascii"))])
-        rest = list(other)
-        for at in range(0, len(rest), 10_000):
-            some = rest[at:at + 10_000]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            for word, one in zip(some, found):
-                known[word] = _packed(one.ids)
-        for word, core, tail in parts:
-            known[word] = known[core] + known[tail]
+        return [b"".join(map(ids, self._pieces(t))) for t in texts]
+
+    def _pieces(self, text: bytes) -> list[bytes]:
+        low = text.lower()
+        if any(x in low for x in self.case_matters):
+            low = text
+        if self.parts_marks:
+            raw = np.frombuffer(low, np.uint8)
+            at = np.flatnonzero(_IS_MARK[raw[1:]] & _IS_LETTER[raw[:-1]]) + 1
+            low = np.insert(raw, at, 0x20).tobytes()
+        return low.split()
 
 
 def _write_chunks(tokenizer: str, id_col: str, id_type: pa.DataType, end_id: int, chunk_ids: int, block: int):

@@ -448,7 +448,12 @@ def test_encoder_is_the_library(name):
     path = public_tokenizers.path(name)
     library, encoder = Tokenizer.from_file(path), tokenfiles.Encoder(path)
     texts = ["", "  two  spaces\n\nand lines ", "\u0130. \u0130, x", "\u0915\u093c. \u0958.", "\u00dcn\u00ef. e\u0301. \u0301. a\u00a0b.",
-             "\uac00. \u1100\u1161.", "\ufb01. \u01c5, \u0391\u03a3.", "<|endoftext|>. hi<|endoftext|>x <|start", "''s. don't!?"]
+             "\uac00. \u1100\u1161.", "\ufb01. \u01c5, \u0391\u03a3.", "<|endoftext|>. hi<|endoftext|>x <|start", "''s. don't!?", "H\u0331 h\u0331 J\u030c. T\u0308x",
+             "<|StartOfText|>.A <|STARTOFTEXT|>", "A.B, c.'S 'RE.x IT'S,it's", "x" * 300 + "." + "\u00e9" * 300 + ","]
+    rng = random.Random(5)
+    alphabet = [*"aAhHjtsSlLzZ09  .,!?#*''-<|>\n", "\u0331", "\u030c", "\u0308", "\u0301", *"\u00e9\u00c9\u00df\u0130\u03a3\u2014\u2026\u00a0\u4e2d\u0958",
+                "<|endoftext|>", "<|startOFtext|>", "the", "Word."]
+    texts += ["".join(rng.choices(alphabet, k=rng.randint(1, 40))) for _ in range(3000)]
     for text, got in zip(texts, encoder.encode([t.encode() for t in texts])):
         assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
