@@ -103,13 +103,11 @@ def offences_by_postcode(raw: DataFrame) -> DataFrame:
         latest = d.agg(F.max("__yr").alias("__latest"))
         d = d.crossJoin(F.broadcast(latest)).where(F.col("__yr") == F.col("__latest"))  # one row
     d = d.where("Postcode IS NOT NULL AND __cnt IS NOT NULL")
-    totals = d.groupBy("Postcode").agg(F.bround(F.sum("__cnt"), 0).alias("crime_offence_count")) \
-        .where("crime_offence_count > 0")
-    per_sub = d.where("__sub IS NOT NULL").groupBy("Postcode", "__sub").agg(
-        F.count(F.lit(1)).alias("__n"))
-    top = per_sub.groupBy("Postcode").agg(
-        F.min_by("__sub", F.struct(-F.col("__n"), F.col("__sub"))).alias("crime_suburb_ref"))
-    return totals.join(top, "Postcode", "left")
+    per_sub = d.groupBy("Postcode", "__sub").agg(F.count(F.lit(1)).alias("__n"), F.sum("__cnt").alias("__sum"))
+    named = F.when(F.col("__sub").isNotNull(), F.struct(-F.col("__n"), F.col("__sub")))  # null: not a candidate
+    return per_sub.groupBy("Postcode").agg(
+        F.bround(F.sum("__sum"), 0).alias("crime_offence_count"),
+        F.min_by("__sub", named).alias("crime_suburb_ref")).where("crime_offence_count > 0")
 
 
 def enrich_listings(listings: DataFrame, census: DataFrame, offences: DataFrame,

@@ -170,3 +170,13 @@ def test_exact_percentiles_property(spark):
             got = res[res.g == grp].p.iloc[0]
             assert abs(got - sub.v.quantile(q)) < 1e-9
     check()
+
+
+def test_offences_by_postcode_unnamed_suburbs(spark):
+    """Unnamed suburbs count towards the total but are never the reference; a total of 0 goes; the latest year alone counts."""
+    from estatelens.operators.enrich import offences_by_postcode
+    rows = [("3000", "2024", None, "5"), ("3000", "2024", None, "5"), ("3000", "2024", "B", "1"), ("3000", "2024", "A", "1"),
+            ("3000", "2023", "Z", "9"), ("3001", "2024", None, "2"), ("3002", "2024", "C", "0"), (None, "2024", "D", "4"), ("3000", "2024", "B", None)]
+    raw = spark.createDataFrame(rows, "`Postcode` string, `Year` string, `Suburb/Town Name` string, `Offence Count` string")
+    got = {r.Postcode: (r.crime_offence_count, r.crime_suburb_ref) for r in offences_by_postcode(raw).collect()}
+    assert got == {3000: (12.0, "A"), 3001: (2.0, None)}
