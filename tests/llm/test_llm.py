@@ -269,6 +269,15 @@ def test_quality_keeps_rows(docs, rows):
     assert as_set(got, "doc_id", "source") == as_set(kept, "doc_id", "source")
 
 
+def test_quality_shared_longest_line(spark):
+    """Many short pages whose longest line is the shared one; copies of one page count once."""
+    legal = " ".join(f"legal{i}" for i in range(60))
+    pages = [(i, "h", f"title of page {i} x\n{legal}") for i in range(150)]
+    copies = [(1000 + i, "g", f"one title\n{legal}") for i in range(150)]
+    got = quality.kept_documents(spark.createDataFrame([*pages, *copies], "doc_id long, source string, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == [x[0] for x in copies]
+
+
 @pytest.mark.parametrize("min_docs", [10, 2])
 def test_line_dedup(docs, rows, min_docs):
     names, want = by_duckdb(linededup.SQL.replace(f">= {linededup.MIN_DOCS}", f">= {min_docs}"), rows)
