@@ -15,7 +15,7 @@ from estatelens.llm import common, decontaminate, mixing, quality, simhash, toke
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a base rule rejects, or that hold little besides boilerplate lines, go."""
+    """Documents that a base rule rejects, or that hold little besides boilerplate lines, go; such lines leave the others."""
     return quality.kept_documents(docs)
 
 

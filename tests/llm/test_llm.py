@@ -278,6 +278,18 @@ def test_quality_shared_longest_line(spark):
     assert sorted(r.doc_id for r in got.collect()) == [x[0] for x in copies]
 
 
+def test_quality_removes_lines(spark):
+    rows = []
+    for i in range(110):
+        own = " ".join(f"w{i}x{j}" for j in range(40))
+        rows.append((i, "h", f"{own}\n\n  Shared FOOTER of the host \nlast {i}", 1, "x"))
+    rows += [rows[0], (500, "g", "Shared footer of the host\n" + own, 7, None)]
+    got = quality.kept_documents(spark.createDataFrame(rows, "doc_id long, source string, text string, n_chars int, more string"))
+    want = [(i, h, t.replace("  Shared FOOTER of the host \n", ""), 0, m) for i, h, t, _, m in rows[:-1]]
+    want = [(i, h, t, len(t), m) for i, h, t, _, m in want] + [rows[-1]]
+    assert as_set(got, "doc_id", "source", "text", "n_chars", "more") == collections.Counter(want)
+
+
 @pytest.mark.parametrize("min_docs", [10, 2])
 def test_line_dedup(docs, rows, min_docs):
     names, want = by_duckdb(linededup.SQL.replace(f">= {linededup.MIN_DOCS}", f">= {min_docs}"), rows)
