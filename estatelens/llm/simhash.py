@@ -204,6 +204,13 @@ def links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
     return dealt.mapInArrow(_link_runs(max_bits), "a long, b long").distinct()
 
 
+def rooted(fps: DataFrame, id_col: str, max_bits: int) -> DataFrame:
+    """(fp, low, root): the distinct fingerprints of ``fps``, the smallest id of each and the least fingerprint linked with it."""
+    groups = common.written(fps.groupBy("fp").agg(F.min(id_col).alias("low")), "simhash-groups")
+    roots = common.components(links(groups, max_bits), "simhash-cc")
+    return groups.join(roots, groups["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                     k: int = 4, max_bits: int = 4) -> DataFrame:
     """(id, fp, component_id) for every row.
@@ -212,28 +219,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     Null text counts as empty (fingerprint 0); a null id never is the smallest
     unless a component has no other."""
     fps = common.written(fingerprints(docs.select(id_col, text), text, k), "simhash-fp")
-    groups = common.written(fps.groupBy("fp").agg(F.min(id_col).alias("low")), "simhash-groups")
-    roots = common.components(links(groups, max_bits), "simhash-cc")
-    named = groups.join(roots, groups["fp"] == roots["node"], "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
+    named = rooted(fps, id_col, max_bits)
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     labels = named.join(lowest, "root").select("fp", "component_id")
     return fps.join(labels, "fp").select(id_col, "fp", "component_id")
 
 
 def keep_representatives(docs: DataFrame, k: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` with one document of each group: the row whose id is the component's.
-
-    Rows that repeat the same id are one document; the first by text stays."""
-    found = near_duplicates(docs, k=k, max_bits=max_bits)
-    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    chosen = chosen.select(F.col("doc_id").alias("__id"))
-    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("__n")).where("__n > 1").select(F.col("doc_id").alias("__id"))
-    once = kept.join(repeated, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    """``docs`` with one row of each group: one with the group's least id (null last).
+
+    Of several such rows the first by text stays; null and repeated ids cost no group its row."""
+    marked = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in ("doc_id", "text")]
+    keyed = docs.withColumn("__key", F.unhex(F.md5(F.concat_ws("\x00", *marked))))  # the same only for one id and text, so one group
+    fps = common.written(fingerprints(keyed.select("doc_id", "__key", "text"), "text", k), "simhash-fp")
+    named = rooted(fps, "doc_id", max_bits)
+    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    first = fps.join(named.join(lowest, "root").select("fp", "root", "component_id"), "fp")
+    first = first.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("__key", "root").agg(F.count("*").alias("n"))
+    first = common.written(first, "simhash-first")
+    tied = first.groupBy("root").agg(F.sum("n").alias("n")).where("n > 1").select("root")
+    once = keyed.join(first.join(tied, "root", "left_anti").select("__key"), "__key", "left_semi").select(*docs.columns)
     row = F.struct(*[F.col(c) for c in docs.columns])
-    several = kept.join(repeated, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    several = (several.groupBy("doc_id").agg(F.min_by(row, F.struct(F.col("text"), F.xxhash64(*docs.columns))).alias("__row"))
+    several = keyed.join(first.join(tied, "root", "left_semi").select("__key", F.col("root").alias("__root")), "__key")
+    several = (several.groupBy("__root").agg(F.min_by(row, F.struct(F.col("text"), F.xxhash64(*docs.columns))).alias("__row"))
                .select("__row.*"))
     return once.unionByName(several)
 

@@ -245,6 +245,16 @@ def test_components(spark):
 
 # ----------------------------------------------------------------------- op 5, op 9
 
+def test_representatives_by_group(spark):
+    """Groups without ids, and groups that share an id, keep a row each."""
+    text = lambda i: " ".join(hashlib.md5(f"{i} {j}".encode()).hexdigest() for j in range(40))
+    rows = [*((None, text(i), "x") for i in range(20)), (None, text(0), "y"), (7, text(30), "x"), (7, text(31), "x"), (7, text(31), "a"),
+            (8, text(31), "x"), (None, text(30), "x"), (None, None, "x"), (9, "", "x")]
+    got = simhash.keep_representatives(spark.createDataFrame(rows, "doc_id long, text string, more string"))
+    assert as_set(got, "doc_id", "text") == collections.Counter(
+        [*((None, text(i)) for i in range(20)), (7, text(30)), (7, text(31)), (9, "")])
+
+
 def by_duckdb(sql, rows):
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
