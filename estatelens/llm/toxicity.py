@@ -6,7 +6,9 @@
    or is spelled with gaps is an observation of a noisy channel.  Its lattice has,
    per character, the letters it may stand for, nothing (a separator), or a
    repetition of the letter before; Viterbi decoding finds the letters that the
-   channel and the language model find likeliest together.
+   channel and the language model find likeliest together.  A run of short tokens
+   is one lattice in which a gap may also be a word edge, at the language model's
+   cost.
 3. Restored texts are scored: words and word beginnings that toxic documents hold
    far more often than others carry a weight, and a logistic curve turns a
    document's sum into a score.  Weights and curve are fitted on a bounded sample
@@ -45,6 +47,12 @@ COST_LOOKALIKE, COST_WILD, COST_MARK, COST_REPEAT = 0.5, 2.5, 0.5, 1.0
 _EDGE = ".,!?;:\"()[]{}<>%&#$*+=…»«“”‘’-–—_~|\\/'`^"
 _LETTERS = re.compile(r"[^\W\d_]")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
+#: White space and marks between the short tokens of a spelled run, and look-alikes that may also end a word in it.
+_GAP = r"\s" + re.escape(SEPARATORS)
+_ENDS = "!|(+#"
+_SHORT = rf"[(\[{{<\"“‘«]*[^{_GAP}]{{1,2}}[)\]}}>\"”’»;?!…]*"
+_RUN = re.compile(rf"(?<![^{_GAP}]){_SHORT}(?:[{_GAP}]+{_SHORT}){{2,}}(?![^{_GAP}])")
+_IS_GAP = re.compile(rf"[{_GAP}]")
 _GAPPED = re.compile(r"(?<!\S)[^\W_]([ .\-_*])[^\W_](?:\1[^\W_])+(?!\S)")
 
 
@@ -101,22 +109,49 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(word: str, model: np.ndarray) -> str:
-    """Likeliest letters behind ``word`` (lower case) by Viterbi over its lattice."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for arcs in lattice(word):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+def spelled_lattice(run: str) -> list[list[tuple[str, float]]]:
+    """The lattice of a run of short tokens: white space and marks may be nothing or a word edge (" ")."""
+    letters = iter(lattice(_IS_GAP.sub("", run)))
+    out = []
+    for i, ch in enumerate(run):
+        if ch.isspace():
+            out.append([("", 0.0), (" ", 0.0)])
+        elif ch in SEPARATORS:
+            out.append([*lattice(ch)[0], (" ", COST_MARK)])
+        else:
+            arcs = next(letters)
+            if i and ch in _ENDS:
+                arcs.append((" ", COST_MARK))
+            out.append(arcs)
+    return out
+
+
+def likeliest(arcs_of: list[list[tuple[str, float]]], model: np.ndarray) -> str:
+    """The letters of the cheapest path by Viterbi; each state keeps a chain of the letters before."""
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    for arcs in arcs_of:
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (cost, done) in states.items():
             for letter, price in arcs:
                 if letter:
-                    c = ord(letter) - 96
-                    key, total, text = (b, c), cost + price + model[a, b, c], done + letter
+                    c = 0 if letter == " " else ord(letter) - 96
+                    key, total = (b, c), cost + price + model[a, b, c]
                 else:
-                    key, total, text = (a, b), cost + price, done
-                if key not in after or (total, text) < after[key]:
-                    after[key] = (total, text)
+                    key, total = (a, b), cost + price
+                if key not in after or total < after[key][0]:
+                    after[key] = (total, (done, letter) if letter else done)
         states = after
-    return min((cost + model[a, b, 0], text) for (a, b), (cost, text) in states.items())[1]
+    end = min(states, key=lambda k: (states[k][0] + model[k[0], k[1], 0], k))
+    chain, out = states[end][1], []
+    while chain:
+        chain, letter = chain
+        out.append(letter)
+    return "".join(reversed(out))
+
+
+def restore(word: str, model: np.ndarray) -> str:
+    """Likeliest letters behind ``word`` (lower case) by Viterbi over its lattice."""
+    return likeliest(lattice(word), model)
 
 
 def disguised(word: str) -> bool:
@@ -145,6 +180,20 @@ def gapped(text: str) -> list[str]:
     return [re.sub(r"[ .\-_*]", "", m.group()) for m in _GAPPED.finditer(text)]
 
 
+def spelled(text: str, model: np.ndarray, known: dict) -> set[str]:
+    """The words behind runs of short tokens, their ends with and without marks that may be look-alikes."""
+    out: set[str] = set()
+    for m in _RUN.finditer(text):
+        run = " ".join(m.group().split())
+        found = known.get(" " + run)
+        if found is None:
+            ends = {run.strip(_EDGE + " "), run.strip(".,;:\"()[]{}<>%& ")}
+            ends |= {x[2:] for x in ends if x.startswith(("a ", "i "))}  # words of one letter, after which the model may see no edge
+            found = known[" " + run] = [w for x in ends if _LETTERS.search(x) for w in likeliest(spelled_lattice(x), model).split()]
+        out.update(found)
+    return out
+
+
 def features_of(word: str) -> list[str]:
     """A whole word (marked) and its beginnings."""
     return ["=" + word, *(word[:n] for n in PREFIXES if len(word) >= n)]
@@ -161,6 +210,7 @@ def document_words(text: str, model: np.ndarray, known: dict[str, list[str]]) ->
     for run in gapped(low):
         out.add(run)
         out.add(restore(run, model))
+    out.update(spelled(low, model, known))
     return out
 
 
@@ -219,11 +269,12 @@ def fit_weights(train: DataFrame, model: np.ndarray, features: int = FEATURES) -
     return {r.feature: r.w for r in best.collect()}
 
 
-def document_sum(text: str | None, model: np.ndarray, weights: dict[str, float], known: dict[str, tuple]) -> float:
+def document_sum(text: str | None, model: np.ndarray, weights: dict[str, float], known: dict[str, tuple], runs: dict[str, list]) -> float:
     """Sum of the weights of a whole text's different words, each by its best feature."""
     low = (text or "").lower()
-    if len(known) > CACHE_WORDS:
+    if len(known) + len(runs) > CACHE_WORDS:
         known.clear()
+        runs.clear()
 
     def best(words: list[str]) -> tuple:
         found = set()
@@ -242,6 +293,8 @@ def document_sum(text: str | None, model: np.ndarray, weights: dict[str, float],
             found.update(hit)
     for run in gapped(low):
         found.update(best([run, restore(run, model)]))
+    for word in spelled(low, model, runs):
+        found.update(best([word]))
     return sum(weights[f] for f in sorted(found))
 
 
@@ -273,8 +326,9 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
     def sums(batches):
         known: dict[str, tuple] = {}
+        runs: dict[str, list] = {}
         for part in common.slices(batches):
-            s = [document_sum(x, model, weights, known) for x in common.column_of(part, "text").to_pylist()]
+            s = [document_sum(x, model, weights, known, runs) for x in common.column_of(part, "text").to_pylist()]
             yield pa.RecordBatch.from_arrays([common.column_of(part, "toxic"), pa.array(s, pa.float64())], names=["toxic", "s"])
 
     # at most SAMPLE_ROWS pairs of numbers
@@ -283,8 +337,9 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
     def run(batches):
         known: dict[str, tuple] = {}
+        runs: dict[str, list] = {}
         for part in common.slices(batches, text):
-            s = [document_sum(x, model, weights, known) for x in common.column_of(part, text).to_pylist()]
+            s = [document_sum(x, model, weights, known, runs) for x in common.column_of(part, text).to_pylist()]
             score = [1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * math.log1p(x))))) for x in s]
             yield pa.RecordBatch.from_arrays([
                 common.column_of(part, id_col), common.column_of(part, "held_out"), pa.array(score, pa.float64()),

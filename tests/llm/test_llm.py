@@ -420,6 +420,22 @@ def test_toxicity(spark):
     assert nothing.count() == 0
 
 
+@pytest.fixture(scope="module")
+def english(spark):
+    plain = "such a stupid idiot here said hello to all of the other people . it is not a good idea to call him an idiot or stupid . " \
+            "the stupid idiots are on it , i am here"
+    return toxicity.language_model(spark.createDataFrame([(plain,)] * 50, "text string"))
+
+
+@pytest.mark.parametrize("text,words", [
+    ("such a i d i o t here", ["idiot"]), ("s t u p i d i d i o t s", ["stupid", "idiots"]), ("s t u p ! d", ["stupid"]),
+    ("$ t u p i d", ["stupid"]), ("(i d i o t)", ["idiot"]), ("i  d  i  o  t", ["idiot"]), ("i\u00a0d\u00a0i\u00a0o\u00a0t", ["idiot"]),
+    ("i/d/i/o/t", ["idiot"]), ("st up id", ["stupid"]), ("(i d i o t).", ["idiot"]), ("it is on a", ["it", "is", "on", "a"])])
+def test_spelled_words(english, text, words):
+    assert set(words) <= toxicity.spelled(text, english, {})
+    assert toxicity.document_sum(text, english, {"=" + words[0]: 2.0}, {}, {}) == 2.0
+
+
 def test_viterbi_is_exact():
     """The decoded letters cost no more than any path of the lattice."""
     rng = np.random.default_rng(1)
