@@ -47,6 +47,8 @@ COST_LOOKALIKE, COST_WILD, COST_MARK, COST_REPEAT = 0.5, 2.5, 0.5, 1.0
 _EDGE = ".,!?;:\"()[]{}<>%&#$*+=…»«“”‘’-–—_~|\\/'`^"
 _LETTERS = re.compile(r"[^\W\d_]")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
+#: What joins two words in one token; look-alikes don't.
+_JOINED = re.compile(r"[,;:/\\\-_.–—…\"]+")
 #: White space and marks between the short tokens of a spelled run, and look-alikes that may also end a word in it.
 _GAP = r"\s" + re.escape(SEPARATORS)
 _ENDS = "!|(+#"
@@ -156,7 +158,7 @@ def restore(word: str, model: np.ndarray) -> str:
 
 def disguised(word: str) -> bool:
     """A word with letters and look-alikes or marks inside, or a letter three times over."""
-    if len(word) < 3 or len(word) > 40 or not _LETTERS.search(word):
+    if len(word) < 3 or not _LETTERS.search(word):
         return False
     return bool(_STRETCHED.search(word)) or any(ch in LOOKALIKES or ch in SEPARATORS for ch in word)
 
@@ -171,7 +173,7 @@ def pieces(token: str, model: np.ndarray) -> list[str]:
         return out
     out += [x for x in re.split(r"[\W_]+", core) if x]
     tight = token.strip(".,;:\"()[]{}<>%&")
-    out += [restore(x, model) for x in {core, tight} if disguised(x)]
+    out += [restore(x, model) for x in {core, tight, *_JOINED.split(core), *_JOINED.split(tight)} if disguised(x)]
     return [x for x in out if x]
 
 

@@ -436,6 +436,13 @@ def test_spelled_words(english, text, words):
     assert toxicity.document_sum(text, english, {"=" + words[0]: 2.0}, {}, {}) == 2.0
 
 
+@pytest.mark.parametrize("token,word", [
+    ("1di" + 40 * "o" + "t", "idiot"), ("-".join("1d10t") + "-" * 60 + "s", "idiots"), ("hello,idi0t", "idiot"), ("hello/1diot", "idiot"),
+    ("other-idi0t", "idiot"), ("other_idi0t", "idiot"), ("hello,$tupid", "stupid")])
+def test_restored_parts(english, token, word):
+    assert word in toxicity.pieces(token, english)
+
+
 def test_viterbi_is_exact():
     """The decoded letters cost no more than any path of the lattice."""
     rng = np.random.default_rng(1)
