@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from estatelens.llm import (collocations, decontaminate, html_text, licenses, linededup, mixing, quality, simhash, suffixdedup,
-                            tokenalign, tokenfiles, toxicity)
+from estatelens.llm import (collocations, decontaminate, html_text, jaccard, licenses, linededup, mixing, quality, simhash,
+                            suffixdedup, tokenalign, tokenfiles, toxicity)
 
 
 def queries() -> dict[str, Callable]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable]:
         "op8_toxicity": toxicity.op8,
         "op9_line_dedup": linededup.op9,
         "op10_token_planes": tokenfiles.op10,
+        "op11_jaccard_join": jaccard.op11,
         "op12_phrase_mining": collocations.op12,
         "op13_token_alignment": tokenalign.op13,
     }
@@ -27,4 +28,5 @@ def queries() -> dict[str, Callable]:
 
 def oracle_sql() -> dict[str, str]:
     """Fingerprints, suffix spans, votes, random transfers, models, pages, tokens and token files are not SQL."""
-    return {"op5_quality_rules": quality.SQL, "op9_line_dedup": linededup.SQL, "op12_phrase_mining": collocations.SQL}
+    return {"op5_quality_rules": quality.SQL, "op9_line_dedup": linededup.SQL, "op11_jaccard_join": jaccard.SQL,
+            "op12_phrase_mining": collocations.SQL}
