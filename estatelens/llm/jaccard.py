@@ -438,9 +438,9 @@ sets AS (
   UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM w WHERE len(w) BETWEEN 1 AND 3),
 sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
 links AS (
-  SELECT x.doc_id AS u, y.doc_id AS v, count(*) AS both FROM sets x JOIN sets y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+  SELECT x.doc_id AS u, y.doc_id AS v, count(*) AS shared FROM sets x JOIN sets y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
 near AS (
-  SELECT u, v FROM links JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v WHERE 100 * both >= 85 * (a.n + b.n - both)),
+  SELECT u, v FROM links JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v WHERE 100 * shared >= 85 * (a.n + b.n - shared)),
 reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, n.v FROM reach r JOIN near n ON n.u = r.v)
 SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, min(r.v) AS component_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.u = d.doc_id
