@@ -41,7 +41,7 @@ SIMILAR, SHINGLE = (85, 100), 4
 #: Bits of the narrow sketch.
 NARROW = 512
 #: Sets of a key that are compared at once, and partners a set gets in the first round of a block (eight times more in each further one).
-BLOCK, PARTNERS = 1024, 8
+BLOCK, PARTNERS = 1024, 64
 _GROWTH = 13  # tenths by which a band's largest size grows
 _LOWER = bytes(words.LOWER)
 
@@ -214,31 +214,48 @@ def groups(sketched: DataFrame) -> DataFrame:
 
 
 def _block_pairs(lo: int, hi: int, similar: tuple[int, int]):
-    """Candidates of each run of rows with one (key, i, j); rows come sorted by it, then by class."""
+    """Candidates of each run of rows with one (key, i, j); rows come sorted by it, then by class.
+
+    A set's partners are ranked among those of other components at the start, so
+    that rounds offer different ones; those of its present component are left out."""
     num, den = similar
 
-    def candidates(two: bool, side, cls, comp, n, bits):
+    def candidates(two: bool, side, cls, start, comp, n, bits):
         """Pairs of one block, or of ``two``: sizes, bits and components allow a link; ``more`` if there are some beyond ``hi``."""
+        if two:
+            rows, others = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+            late = np.full(len(cls), -1)
+        else:  # sets of the largest component need no comparison among themselves
+            names, at, many = np.unique(start, return_inverse=True, return_counts=True)
+            minor = at != many.argmax()
+            rows, others = np.flatnonzero(minor), np.arange(len(cls))
+            late = np.where(minor, others, -1)
         out_a, out_b, more = [], [], False
-        left = np.flatnonzero(side == 0)
-        for i in (np.flatnonzero(side == 1) if two else left).tolist():
-            other = left if two else left[left < i]
-            small, large = np.minimum(n[other], n[i]), np.maximum(n[other], n[i])
-            other = other[small * den >= large * num]
-            apart = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            other = other[apart <= most_apart(n[other] + n[i], similar)]
-            more = more or bool((comp[other[hi:]] != comp[i]).any())
-            other = other[lo:hi]
-            other = other[comp[other] != comp[i]]
-            out_a.append(cls[other])
-            out_b.append(np.full(len(other), cls[i]))
+        if not len(others):
+            return out_a, out_b, more
+        step = max(1, (1 << 15) // len(others))
+        for u in range(0, len(rows), step):
+            i = rows[u:u + step]
+            ok = (start[i, None] != start[others]) & (late[others] < i[:, None])
+            x, y = n[i, None], n[others]
+            ok &= np.minimum(x, y) * den >= np.maximum(x, y) * num
+            r, c = np.nonzero(ok)
+            apart = np.bitwise_count(bits[i[r]] ^ bits[others[c]]).sum(axis=1, dtype=np.int64)
+            near = apart <= most_apart(n[i[r]] + n[others[c]], similar)
+            r, c = r[near], c[near]
+            rank = np.arange(len(r)) - np.searchsorted(r, r)
+            open_ = comp[i[r]] != comp[others[c]]
+            more = more or bool((open_ & (rank >= hi)).any())
+            take = open_ & (rank >= lo) & (rank < hi)
+            out_a.append(cls[others[c[take]]])
+            out_b.append(cls[i[r[take]]])
         return out_a, out_b, more
 
     def run(batches):
         held: list[pa.RecordBatch] = []
 
         def emit(rows: pa.Table):
-            column = {c: rows.column(c).to_numpy() for c in ("key", "i", "j", "side", "cls", "comp", "n")}
+            column = {c: rows.column(c).to_numpy() for c in ("key", "i", "j", "side", "cls", "start", "comp", "n")}
             bits = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(-1, NARROW // 64)
             new = np.zeros(len(rows), bool)
             new[0] = True
@@ -249,7 +266,7 @@ def _block_pairs(lo: int, hi: int, similar: tuple[int, int]):
             for u, v in zip(at[:-1].tolist(), at[1:].tolist()):
                 if v - u > 1:
                     two = bool(column["i"][u] != column["j"][u])
-                    x, y, m = candidates(two, *(column[c][u:v] for c in ("side", "cls", "comp", "n")), bits[u:v])
+                    x, y, m = candidates(two, *(column[c][u:v] for c in ("side", "cls", "start", "comp", "n")), bits[u:v])
                     a, b, more = a + x, b + y, more or m
             a, b = np.concatenate(a), np.concatenate(b)
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
@@ -276,17 +293,21 @@ def _block_pairs(lo: int, hi: int, similar: tuple[int, int]):
     return run
 
 
-def _blocks(members: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows (key, i, j, side, cls, comp, n, sketch) of the keys whose sets are not one component; large keys in pairs of blocks."""
-    named = members.join(comps, members["cls"] == comps["node"], "left").select("key", "cls", F.coalesce("root", "cls").alias("comp"))
-    named = common.written(named, "jaccard-named")
-    unsettled = (named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("c"))
+def _blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (key, i, j, side, cls, start, n, sketch) of the keys whose sets (cls, start) are not one component; large keys in pairs of blocks."""
+    unsettled = (members.groupBy("key").agg(F.min("start").alias("low"), F.max("start").alias("high"), F.count("*").alias("c"))
                  .where("low < high").select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
-    rows = named.join(unsettled, "key").join(classes.select("cls", "n", "sketch"), "cls")
+    rows = members.join(unsettled, "key").join(classes.select("cls", "n", "sketch"), "cls")
     own = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).otherwise(0)
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                       (F.col("own") > F.col("other")).cast("int").alias("side"), "cls", "comp", "n", "sketch")
+                       (F.col("own") > F.col("other")).cast("int").alias("side"), "cls", "start", "n", "sketch")
+
+
+def _named(df: DataFrame, comps: DataFrame, name: str) -> DataFrame:
+    """``df`` with the component of ``cls`` in column ``name``."""
+    found = comps.select(F.col("node").alias("cls"), F.col("root").alias(name))
+    return df.join(found, "cls", "left").withColumn(name, F.coalesce(name, "cls"))
 
 
 # -------------------------------------------------------------------------- verification
@@ -395,22 +416,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     pairs = (held.where("row <> pivot").select("row", "pivot").distinct()
              .join(of_row, "row").join(of_row.select(F.col("row").alias("pivot"), F.col("cls").alias("pivot_cls")), "pivot")
              .select(F.least("cls", "pivot_cls").alias("a"), F.greatest("cls", "pivot_cls").alias("b")).where("a < b").distinct())
-    links = tested = None
-    lo, hi = 0, PARTNERS
-    while True:
-        pairs = common.written(pairs, "jaccard-pairs")
-        more = links is None or bool(pairs.where("a < 0").head(1))
-        fresh = pairs.where("a >= 0")
-        if tested is not None:
-            fresh = fresh.join(tested, ["a", "b"], "left_anti")
-        found = verified(fresh, texts, classes, k, similar)
-        links = found if links is None else common.written(links.union(found), "jaccard-links")
-        comps = common.written(common.components(links, "jaccard-cc"), "jaccard-comps")
-        if not more:
-            break
-        tested = pairs.where("a >= 0")  # later rounds offer other partners but for the first one's
-        dealt = _blocks(members, comps, classes).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "cls")
-        pairs = dealt.mapInArrow(_block_pairs(lo, hi, similar), "a long, b long").distinct()
+    pairs = common.written(pairs, "jaccard-pairs")
+    links = verified(pairs, texts, classes, k, similar)
+    comps = common.written(common.components(links, "jaccard-cc"), "jaccard-comps")
+    dealt = common.written(_blocks(common.written(_named(members, comps, "start"), "jaccard-members"), classes), "jaccard-blocks")
+    lo, hi, more = 0, PARTNERS, bool(dealt.head(1))
+    while more:
+        rows_now = _named(dealt, comps, "comp").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "cls")
+        offered = common.written(rows_now.mapInArrow(_block_pairs(lo, hi, similar), "a long, b long").distinct(), "jaccard-pairs")
+        more = bool(offered.where("a < 0").head(1))
+        fresh = offered.where("a >= 0").join(pairs, ["a", "b"], "left_anti")
+        if fresh.head(1):
+            links = common.written(links.union(verified(fresh, texts, classes, k, similar)), "jaccard-links")
+            comps = common.written(common.components(links, "jaccard-cc"), "jaccard-comps")
         lo, hi = hi, hi * 8
 
     label = classes.join(comps, classes["cls"] == comps["node"], "left").withColumn("top", F.coalesce("root", "cls"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import functools
 import hashlib
 import random
 import re
@@ -169,9 +170,14 @@ def test_phrases_empty(empty):
 
 # --------------------------------------------------------------------------- op 13
 
+@functools.cache
+def default_units():
+    return tokenalign._sides(tokenalign.default_tokenizers())
+
+
 @pytest.fixture(scope="module")
 def sides():
-    return tokenalign._sides(tokenalign.default_tokenizers()).sides
+    return default_units().sides
 
 
 def tokens_of(sides, text):
@@ -222,7 +228,7 @@ PIECES = st.sampled_from([" ", "  ", "\n", "a", "é", "ß", "日", "😀", "'s",
 @settings(max_examples=300, deadline=None)
 @given(st.lists(PIECES, max_size=30).map("".join))
 def test_units_give_the_librarys_ids(text):
-    units = test_units_give_the_librarys_ids.__dict__.setdefault("units", tokenalign._sides(tokenalign.default_tokenizers()))
+    units = default_units()
     ids, counts = units.tokens([text])
     want = tokens_of(units.sides, text)
     assert [x.tolist() for x in ids] == want and [int(c[0]) for c in counts] == [len(x) for x in want]
