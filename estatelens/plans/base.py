@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from estatelens.operators.clean import CleanResult, clean
 from estatelens.operators.common import materialize
 from estatelens.params import DEFAULT, Params
+from estatelens.session import scratch_dir
 from estatelens.sources import listings_adapter as la
 from estatelens.sources.tables import read_table
 
@@ -18,18 +19,19 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STAGES: dict = {}
+#: Tables the listings are made of.
+INPUTS = ("orders",)
 
 
-def _fingerprint(sf_dir: str, names: tuple) -> tuple:
-    """Identity of an input snapshot: file sizes and modification times."""
+def _fingerprint(spark: SparkSession, sf_dir: str, names: tuple) -> tuple:
+    """Identity of an input snapshot on any file system: bytes, files and the latest change."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     out = []
     for n in names:
-        path = f"{sf_dir}/{n}.parquet"
-        try:
-            st = os.stat(path)
-            out.append((n, st.st_size, st.st_mtime_ns))
-        except OSError:
-            out.append((n, None, None))
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{n}.parquet")
+        fs = path.getFileSystem(conf)
+        held = fs.getContentSummary(path)
+        out.append((n, held.getLength(), held.getFileCount(), max(f.getModificationTime() for f in fs.listStatus(path))))
     return tuple(out)
 
 
@@ -39,7 +41,7 @@ def cleaned_result(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> Cle
     per (session, input snapshot, params) and written to the shared
     checkpoint folder; later queries read the written table."""
     key = ("clean", spark.sparkContext.applicationId, sf_dir,
-           _fingerprint(sf_dir, ("orders",)), p)
+           _fingerprint(spark, sf_dir, INPUTS), p)
     hit = _STAGES.get(key)
     if hit is not None:
         return hit
@@ -60,9 +62,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stage(spark: SparkSession, sf_dir: str, name: str, build, p: Params = DEFAULT) -> DataFrame:
     """A derived table written once per (session, input snapshot, params)."""
     key = (name, spark.sparkContext.applicationId, sf_dir,
-           _fingerprint(sf_dir, ("orders",)), p)
+           _fingerprint(spark, sf_dir, INPUTS), p)
     hit = _STAGES.get(key)
     if hit is None:
         hit = materialize(build(), name)
         _STAGES[key] = hit
     return hit
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, build: Callable, p: Params = DEFAULT):
+    """What ``build`` returns, made once per (session, input snapshot, params)."""
+    key = ("once", name, spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir, INPUTS), p)
+    if key not in _STAGES:
+        _STAGES[key] = build()
+    return _STAGES[key]
+
+
+def model(spark: SparkSession, sf_dir: str, name: str, fit: Callable, loader, p: Params = DEFAULT):
+    """A fitted model, saved in the shared folder by the first query that asks for it and loaded from there by path."""
+    def save():
+        path = scratch_dir(spark, f"model-{name}")
+        fit().write().save(path)
+        return path
+    return loader.load(once(spark, sf_dir, f"model-{name}", save, p))

@@ -14,36 +14,41 @@ from estatelens.plans.registry import register
 from estatelens.session import scratch_dir
 from estatelens.streaming import micro_batch as MB
 
-N_CHUNKS = 5
+N_CHUNKS, FILES = 5, 4
 
 
-def land_in_order(chunks, source_dir):
+def land_in_order(chunks, source_dir, key):
     """Test-fixture landing: each chunk (a slice of a driver table) becomes
-    one file, written after the previous one, so arrival order = chunk
-    order.  Upstream producers land real input; the stream jobs never
-    depend on this helper."""
+    several files, written after those of the chunk before, so arrival order =
+    chunk order; the records of one key share a file of their chunk.  Upstream
+    producers land real input; the stream jobs never depend on this helper."""
     for c in chunks:
-        c.coalesce(1).write.mode("append").parquet(source_dir)
+        c.repartition(FILES, key).write.mode("append").parquet(source_dir)
 
 
 def _landed_events(spark, sf_dir, where=None):
+    """All events, cut by quantiles of their time; those without one arrive last."""
     e = events(spark, sf_dir)
     if where is not None:
         e = e.where(where)
     src = scratch_dir(spark, "events-src")
-    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01"))
-    chunks = [e.where(F.floor(day * N_CHUNKS / 31) == i) for i in range(N_CHUNKS)]
-    land_in_order(chunks, src)
+    cuts = e.agg(F.percentile_approx("ts", [i / N_CHUNKS for i in range(1, N_CHUNKS)]).alias("c")).first()["c"] or []
+    chunk = F.when(F.col("ts").isNull(), F.lit(N_CHUNKS)).otherwise(
+        sum([(F.col("ts") > F.lit(c)).cast("int") for c in cuts], F.lit(0)))
+    land_in_order([e.where(chunk == i) for i in range(N_CHUNKS + 1)], src, "user_id")
     return src, e.schema
 
 
+def _changes(spark, sf_dir, where=None, stored=None):
+    src, schema = _landed_events(spark, sf_dir, where)
+    out = MB.change_stream(spark, src, schema, scratch_dir(spark, "changes"), "user_id", ["ts", "event_id"],
+                           ["event_type", "bucket"], bootstrap=stored, files_per_batch=FILES)
+    return out.select("event_id", "user_id", "event_type", "bucket")
+
+
 @register("change_stream", CHANGE_SQL)
 def q_change_stream(spark, sf_dir):
-    src, schema = _landed_events(spark, sf_dir)
-    out = MB.change_stream(spark, src, schema, scratch_dir(spark, "changes"),
-                           scratch_dir(spark, "change-work"), "user_id", ["ts", "event_id"],
-                           ["event_type", "bucket"])
-    return out.select("event_id", "user_id", "event_type", "bucket")
+    return _changes(spark, sf_dir)
 
 
 @register("change_stream_bootstrap", f"""
@@ -55,11 +60,7 @@ WHERE ts >= {CUT} AND (pe IS NULL OR pt IS DISTINCT FROM event_type OR pb IS DIS
 def q_change_bootstrap(spark, sf_dir):
     e = events(spark, sf_dir)
     stored = IG.keep_last(e.where(F.col("ts") < F.expr(CUT)), ["user_id"], ["ts", "event_id"])
-    src, schema = _landed_events(spark, sf_dir, F.col("ts") >= F.expr(CUT))
-    out = MB.change_stream(spark, src, schema, scratch_dir(spark, "changes"),
-                           scratch_dir(spark, "change-work"), "user_id", ["ts", "event_id"],
-                           ["event_type", "bucket"], bootstrap=stored)
-    return out.select("event_id", "user_id", "event_type", "bucket")
+    return _changes(spark, sf_dir, F.col("ts") >= F.expr(CUT), stored)
 
 
 @register("boundary_resume", O.with_listings(f"""
@@ -73,7 +74,7 @@ def q_boundary_resume(spark, sf_dir):
     src = scratch_dir(spark, "cand-src")
     # whole suburbs per file: a suburb's candidates always arrive together
     chunks = [c.where(F.pmod(F.xxhash64(F.upper(F.trim("suburb"))), F.lit(4)) == i) for i in range(4)]
-    land_in_order(chunks, src)
+    land_in_order(chunks, src, "suburb")
     return MB.boundary_stream(spark, src, c.schema, scratch_dir(spark, "boundary-sink"),
                               scratch_dir(spark, "boundary-work"))
 
@@ -85,7 +86,7 @@ def q_rescore(spark, sf_dir):
     from estatelens.operators import scoring as SC
     fs = engineered(spark, sf_dir).where("Status = 'For Sale'")
     src = scratch_dir(spark, "forsale-src")
-    land_in_order([fs.where(F.col("Postcode") % 2 == i) for i in range(2)], src)
+    land_in_order([fs.where(F.pmod(F.xxhash64("Property_ID"), F.lit(2)) == i) for i in range(2)], src, "Property_ID")
 
     def score(batch):
         b = batch.withColumns({"pt": F.expr(standin.PRED), "q10": F.expr(standin.Q10),
@@ -99,9 +100,21 @@ def q_rescore(spark, sf_dir):
 
 @register("change_stream_stateful", CHANGE_SQL)
 def q_change_stateful(spark, sf_dir):
-    """S1 via applyInPandasWithState (keyed state store) — same result as the
-    foreachBatch form and the batch lag query."""
+    """S1 with one file a micro-batch: the records of a key of one chunk share a file, so the result is the same."""
     src, schema = _landed_events(spark, sf_dir)
-    out = MB.change_stream_stateful(spark, src, schema, scratch_dir(spark, "change-state"),
-                                    "user_id", ["ts", "event_id"], ["event_type", "bucket"])
+    out = MB.change_stream(spark, src, schema, scratch_dir(spark, "change-state"), "user_id", ["ts", "event_id"],
+                           ["event_type", "bucket"])
     return out.select("event_id", "user_id", "event_type", "bucket")
+
+
+@register("rescore_model")
+def q_rescore_model(spark, sf_dir):
+    """S4 with the stored production model, loaded once for the whole run: the rows of ``batch_score``."""
+    from estatelens.operators import scoring as SC
+    from estatelens.plans import q_models as Q
+    fs = engineered(spark, sf_dir).where("Status = 'For Sale'")
+    src = scratch_dir(spark, "forsale-src")
+    land_in_order([fs.where(F.pmod(F.xxhash64("Property_ID"), F.lit(2)) == i) for i in range(2)], src, "Property_ID")
+    model = Q.boosted(spark, sf_dir, "full")
+    return MB.rescore_stream(spark, src, fs.schema, scratch_dir(spark, "rescored"), scratch_dir(spark, "rescore-work"),
+                             lambda batch: SC.prediction_view(Q.scored(spark, sf_dir, batch, model=model)))

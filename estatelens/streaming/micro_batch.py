@@ -1,10 +1,9 @@
-"""Structured Streaming jobs.
+"""Structured Streaming jobs (S1-S4), file-source streams with ``Trigger.AvailableNow``.
 
-All three are file-source streams run with ``Trigger.AvailableNow`` and a
-``foreachBatch`` sink: each micro-batch is an ordinary DataFrame job, its
-outputs are written under a folder named by the batch id (overwritten on
-replay, so a re-run batch is idempotent), and the keyed state is a small
-Parquet snapshot per batch in the checkpoint area.
+The change stream is a keyed stateful operator: Spark's state store holds each
+key's last record.  Boundaries and re-scores use a ``foreachBatch`` sink: each
+micro-batch is an ordinary DataFrame job whose output goes to a folder named by the
+batch id (overwritten on replay, so a re-run batch is idempotent).
 """
 
 from __future__ import annotations
@@ -15,47 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estatelens.operators import ingest as IG
 from estatelens.operators import spatial as SP
 
 
-def _read_state(spark: SparkSession, state_dir: str, epoch: int, schema: T.StructType,
-                bootstrap: DataFrame | None) -> DataFrame | None:
-    """State as of the end of batch ``epoch - 1`` (or the bootstrap table)."""
-    if epoch > 0:
-        return spark.read.schema(schema).parquet(f"{state_dir}/batch={epoch - 1}")
-    return bootstrap
-
-
-def change_stream(spark: SparkSession, source_dir: str, schema: T.StructType, out_dir: str,
-                  work_dir: str, key: str, order: Sequence[str], pair: Sequence[str],
-                  bootstrap: DataFrame | None = None, files_per_batch: int = 1) -> DataFrame:
-    """S1 + S2: emit a record when its key is new or its (pair) differs from
-    the key's previous record; state = last record per key, bootstrapped
-    from a stored table.  Returns the emitted records (read back)."""
-    state_dir, ckpt = f"{work_dir}/state", f"{work_dir}/checkpoint"
-    cols = [key, *order, *pair]
-    state_schema = T.StructType([schema[c] for c in cols])
-    boot = bootstrap.select(*cols) if bootstrap is not None else None
-
-    def process(batch: DataFrame, epoch: int) -> None:
-        b = batch.select(*cols)
-        prev = _read_state(spark, state_dir, epoch, state_schema, boot)
-        if prev is None:
-            prev = spark.createDataFrame([], state_schema)
-        seq = prev.withColumn("__src", F.lit(0)).unionByName(b.withColumn("__src", F.lit(1)))
-        emitted = IG.change_events(seq, key, order, pair).where("__src = 1").drop("__src")
-        emitted.write.mode("overwrite").parquet(f"{out_dir}/batch={epoch}")
-        new_state = IG.keep_last(seq.drop("__src"), [key], list(order))
-        new_state.write.mode("overwrite").parquet(f"{state_dir}/batch={epoch}")
-
-    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-         .parquet(source_dir).writeStream.foreachBatch(process)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out_dir).drop("batch")
-
-
 def boundary_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str,
                     work_dir: str) -> DataFrame:
     """S3: resumable append of picked boundaries; suburbs already in the
@@ -94,14 +55,18 @@ def rescore_stream(spark: SparkSession, source_dir: str, schema: T.StructType, o
     return spark.read.parquet(out_dir).drop("batch")
 
 
-def change_stream_stateful(spark: SparkSession, source_dir: str, schema: T.StructType,
-                           work_dir: str, key: str, order: Sequence[str],
-                           pair: Sequence[str]) -> DataFrame:
-    """S1 as a keyed stateful streaming operator (``applyInPandasWithState``):
-    the state store keeps each key's last pair; every micro-batch emits the
-    key's records whose pair differs from the previous one.  Per key and
-    batch, only that batch's records are in one task (the table never is).
-    Returns the emitted records (memory sink, read back)."""
+def change_stream(spark: SparkSession, source_dir: str, schema: T.StructType, work_dir: str, key: str,
+                  order: Sequence[str], pair: Sequence[str], bootstrap: DataFrame | None = None,
+                  files_per_batch: int = 1) -> DataFrame:
+    """S1 + S2: emit a record when its key is new or its ``pair`` differs from the
+    key's previous record.
+
+    Records are taken in the order they arrive (within a micro-batch by ``order``,
+    null last): a late record is judged once, against what its key held when it
+    came, and is then the key's last one.  A key without state starts from its row
+    of ``bootstrap`` (the stored table, one row per key; joined to the records as
+    they come) or, without one, is new.  Per key and batch only that batch's records are in one
+    task.  Returns the emitted records."""
     import pandas as pd
     from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -110,32 +75,36 @@ def change_stream_stateful(spark: SparkSession, source_dir: str, schema: T.Struc
     state_schema = T.StructType([T.StructField(f"last_{c}", schema[c].dataType) for c in pair])
 
     def emit(k, batches, state):
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(list(order), kind="mergesort")
+        pdf = pd.concat(list(batches), ignore_index=True).sort_values(list(order), kind="mergesort", ignore_index=True)
         vals = pdf[list(pair)].astype(object).where(pdf[list(pair)].notna(), None)
         prev = vals.shift(1)
+        first_is_new = False
         if state.exists:
-            last = state.get
-            for i, c in enumerate(pair):
-                prev.iloc[0, i] = last[i]
-            first_is_new = False
+            prev.iloc[0] = list(state.get)
+        elif pdf["__stored"].fillna(False).astype(bool).any():
+            row = pdf[[f"__{c}" for c in pair]].astype(object).iloc[0]
+            prev.iloc[0] = [None if pd.isna(x) else x for x in row]
         else:
             first_is_new = True
-        changed = pd.Series(False, index=pdf.index)
+        changed = pd.Series(first_is_new, index=pdf.index) & (pdf.index == 0)
         for c in pair:
             a, b = vals[c], prev[c]
             changed |= ~((a.isna() & b.isna()) | (a == b))
-        if first_is_new:
-            changed.iloc[0] = True
         tail = vals.iloc[-1]
         state.update(tuple(None if pd.isna(tail[c]) else tail[c] for c in pair))
         yield pdf.loc[changed.values, cols]
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
-    name = f"changes_{abs(hash(work_dir)) % 10**9}"
-    q = (stream.select(*cols).groupBy(key)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_dir).select(*cols))
+    if bootstrap is None:
+        stream = stream.select("*", F.lit(None).cast("boolean").alias("__stored"),
+                               *[F.lit(None).cast(schema[c].dataType).alias(f"__{c}") for c in pair])
+    else:
+        stored = bootstrap.select(F.col(key).alias("__key"), F.lit(True).alias("__stored"), *[F.col(c).alias(f"__{c}") for c in pair])
+        stream = stream.join(stored, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+    q = (stream.groupBy(key)
          .applyInPandasWithState(emit, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
          .writeStream.format("parquet").option("path", f"{work_dir}/out")
-         .option("checkpointLocation", f"{work_dir}/checkpoint").queryName(name)
+         .option("checkpointLocation", f"{work_dir}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema(out_schema).parquet(f"{work_dir}/out")
