@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelens.operators.common import materialize
-from estatelens.operators.quantiles import percentiles_from_counts, running_totals
+from estatelens.operators.quantiles import exact_percentiles, running_totals
 
 
 def ks_pvalue(d, n1, n2, terms: int = 8):
@@ -53,10 +53,7 @@ def ks_drift(df: DataFrame, features: Sequence[str], group: str, a: str, b: str)
     stat = cum.join(tot, "feature").groupBy("feature", "tot_a", "tot_b").agg(
         F.max(F.abs(F.col("cum_na") / F.col("tot_a") - F.col("cum_nb") / F.col("tot_b")))
         .alias("ks_stat"))
-    # medians from the same counting pass: one weighted table per group
-    by_group = counts.select("feature", "value", F.lit(a).alias(group), F.col("na").alias("w")) \
-        .unionByName(counts.select("feature", "value", F.lit(b).alias(group), F.col("nb").alias("w")))
-    med = percentiles_from_counts(by_group, ["feature", group], "value", "w", {"m": 0.5})
+    med = exact_percentiles(long, ["feature", group], "value", {"m": 0.5})
     meds = med.groupBy("feature").agg(
         F.max(F.when(F.col(group) == a, F.col("m"))).alias("median_a"),
         F.max(F.when(F.col(group) == b, F.col("m"))).alias("median_b"))

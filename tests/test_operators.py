@@ -165,7 +165,7 @@ def test_exact_percentiles_property(spark):
            st.floats(0.0, 1.0))
     def check(rows, q):
         pdf = pd.DataFrame(rows, columns=["g", "v"]).astype({"v": "float64"})
-        res = exact_percentiles(spark.createDataFrame(pdf), ["g"], "v", {"p": q}, buckets=4).toPandas()
+        res = exact_percentiles(spark.createDataFrame(pdf), ["g"], "v", {"p": q}, small=8, grid=4).toPandas()
         for grp, sub in pdf.groupby("g"):
             got = res[res.g == grp].p.iloc[0]
             assert abs(got - sub.v.quantile(q)) < 1e-9
@@ -180,3 +180,37 @@ def test_offences_by_postcode_unnamed_suburbs(spark):
     raw = spark.createDataFrame(rows, "`Postcode` string, `Year` string, `Suburb/Town Name` string, `Offence Count` string")
     got = {r.Postcode: (r.crime_offence_count, r.crime_suburb_ref) for r in offences_by_postcode(raw).collect()}
     assert got == {3000: (12.0, "A"), 3001: (2.0, None)}
+
+
+def test_selection_with_outlier_ties_and_one_large_group(spark):
+    """Ranks are found by cells however the values lie: an outlier far off, a value that fills
+    most of a group, infinities; small groups, nulls, NaN and null keys beside them."""
+    rng = np.random.default_rng(5)
+    groups = {
+        "outlier": np.r_[rng.normal(size=4000), 1e300],
+        "ties": np.r_[np.full(2500, 7.0), rng.uniform(7, 8, 900), rng.uniform(6, 7, 100)],
+        "infinite": np.r_[np.full(300, np.inf), np.full(300, -np.inf), rng.normal(size=700)],
+        "two": np.r_[np.zeros(500), np.ones(500)],
+        "small": rng.normal(size=5),
+    }
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs]
+    rows += [("small", None), ("small", float("nan")), ("none", None), (None, 1.0)]
+    qs = {"low": 0.0, "q1": 0.1, "mid": 0.5, "q3": 0.75, "top": 1.0}
+    df = spark.createDataFrame(rows, "g string, v double")
+    for small, grid in ((20, 4), (500, 10), (100_000, 200)):
+        got = exact_percentiles(df, ["g"], "v", qs, count_alias="n", small=small, grid=grid).toPandas().set_index("g")
+        assert sorted(got.index) == sorted(groups)
+        for g, vs in groups.items():
+            assert got.loc[g, "n"] == len(vs)
+            vs, want = np.sort(vs), []
+            for q in qs.values():
+                h = q * (len(vs) - 1)
+                lo, hi = vs[int(h)], vs[min(int(h) + 1, len(vs) - 1)]
+                want.append(lo if lo == hi else lo + (h - int(h)) * (hi - lo))
+            assert np.allclose(got.loc[g, list(qs)].to_numpy(float), want, rtol=1e-12, atol=0), g
+
+
+def test_running_totals_with_outlier_spread_evenly(spark):
+    pdf = pd.DataFrame({"k": 1, "x": np.r_[np.arange(3000.0), 1e300], "w": 1})
+    out = running_totals(spark.createDataFrame(pdf), ["k"], "x", ["w"], buckets=16).toPandas().sort_values("x")
+    assert (out["cum_w"].to_numpy() == np.arange(1, 3002)).all()
