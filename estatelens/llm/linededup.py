@@ -3,7 +3,9 @@
 Documents are packed into blocks.  Each block sends its distinct line hashes,
 with the number of its documents that hold each, to the hash's shard.  A shard
 numbers its distinct hashes by a minimal perfect hash and keeps two compact
-arrays in that order: a fingerprint and a document count.  The shards are a
+arrays in that order: a fingerprint and a document count.  Hash and fingerprint
+are the two halves of a line's 128-bit XXH3, so that lines are told apart by 128
+bits and a line that meets another's hash is still a key of its own.  The shards are a
 written table.  Blocks then probe the arrays with their own hashes, get back the
 few lines that are too frequent, and drop them; lines themselves never move.
 
@@ -17,6 +19,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +31,19 @@ GAMMA = 1.5
 
 # -------------------------------------------------------------------- perfect hash
 
-def _slot(h: np.ndarray, level: int, size: int) -> np.ndarray:
-    return (words.mixed(h + np.uint64((level + 1) * 0xA24BAED4963EE407 % (1 << 64))) % np.uint64(size)).astype(np.int64)
+#: A line's key: its hash, which decides shard and order, and its fingerprint.
+KEY = np.dtype([("hash", "<u8"), ("print", "<u8")])
+
+
+def _slot(keys: np.ndarray, level: int, size: int) -> np.ndarray:
+    salt = np.uint64((level + 1) * 0xA24BAED4963EE407 % (1 << 64))
+    if keys.dtype != KEY:
+        return (words.mixed(keys + salt) % np.uint64(size)).astype(np.int64)
+    return (words.mixed(words.mixed(keys["hash"] + salt) ^ (keys["print"] * (salt | np.uint64(1)))) % np.uint64(size)).astype(np.int64)
 
 
 def build_index(keys: np.ndarray) -> list[np.ndarray]:
-    """Levels of bits: a key that is alone in its slot of a level has its bit there, the others go on."""
+    """Levels of bits for distinct keys (``KEY`` rows or plain 64-bit hashes): a key that is alone in its slot of a level has its bit there, the others go on."""
     levels = []
     while len(keys):
         size = max(64, int(len(keys) * GAMMA))
@@ -47,15 +57,15 @@ def build_index(keys: np.ndarray) -> list[np.ndarray]:
 
 
 def probe_index(levels: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
-    """Number of each key, -1 where no level has a bit for it."""
+    """Number of each key, -1 where no level has a bit for it.  Ranks are built once a call: probe all keys of a shard at once."""
     out = np.full(len(keys), -1, np.int64)
     open_, before = np.arange(len(keys)), 0
     for level, bits in enumerate(levels):
         slot = _slot(keys[open_], level, len(bits))
-        rank = np.cumsum(bits) - 1
+        rank = np.cumsum(bits)
         here = bits[slot]
-        out[open_[here]] = before + rank[slot[here]]
-        open_, before = open_[~here], before + int(rank[-1]) + 1
+        out[open_[here]] = before + rank[slot[here]] - 1
+        open_, before = open_[~here], before + int(rank[-1])
     return out
 
 
@@ -76,7 +86,7 @@ def unpack_levels(raw: bytes) -> list[np.ndarray]:
 # --------------------------------------------------------------------------- lines
 
 def line_keys(buf: np.ndarray, off: np.ndarray):
-    """(starts, ends, first line of each document plus the total, hashes, has a key) of all lines."""
+    """(starts, ends, first line of each document plus the total, keys, has a key) of all lines."""
     breaks = np.flatnonzero(buf == 10)
     number = np.searchsorted(breaks, off[1:]) - np.searchsorted(breaks, off[:-1]) + 1
     first = np.concatenate(([0], np.cumsum(number)))
@@ -91,23 +101,38 @@ def line_keys(buf: np.ndarray, off: np.ndarray):
     solid = np.flatnonzero(words.SOLID[buf])
     i, j = np.searchsorted(solid, starts), np.searchsorted(solid, ends)
     has = j > i
-    hashes = np.zeros(len(starts), np.uint64)
+    keys = np.zeros(len(starts), KEY)
     if has.any():
-        hashes[has] = words.span_hashes(words.LOWER[buf], solid[i[has]], solid[j[has] - 1] + 1)
-    return starts, ends, first, hashes, has
+        lower = words.LOWER[buf].tobytes()
+        digest = xxhash.xxh3_128_digest
+        raw = b"".join([digest(lower[x:y]) for x, y in zip(solid[i[has]].tolist(), (solid[j[has] - 1] + 1).tolist())])
+        keys[has] = np.frombuffer(raw, KEY)
+    return starts, ends, first, keys, has
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in order of hash and fingerprint, number of each row's key)."""
+    order = np.lexsort((keys["print"], keys["hash"]))
+    h, p = keys["hash"][order], keys["print"][order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (h[1:] != h[:-1]) | (p[1:] != p[:-1])
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return keys[order[new]], number
 
 
 def _send(shards: int):
     def run(batches):
         for row, buf, off in common.blocks_in(batches):
-            _, _, first, h, has = line_keys(buf, off)
+            _, _, first, lines, has = line_keys(buf, off)
             doc = np.repeat(np.arange(len(off) - 1), np.diff(first))[has]
-            order = np.lexsort((doc, h[has]))
-            h, doc = h[has][order], doc[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-            keys, counts = np.unique(h[new], return_counts=True)
-            order, at = common.by_shard(keys, shards)
+            keys, number = _distinct(lines[has])
+            order = np.lexsort((doc, number))
+            number, doc = number[order], doc[order]
+            new = np.ones(len(number), bool)
+            new[1:] = (number[1:] != number[:-1]) | (doc[1:] != doc[:-1])
+            counts = np.bincount(number[new], minlength=len(keys))
+            order, at = common.by_shard(keys["hash"], shards)
             used = np.flatnonzero(np.diff(at))
             if len(used):
                 yield pa.RecordBatch.from_pydict({
@@ -123,13 +148,13 @@ def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
 
 
 def _build(key, table):
-    h, n = _joined(table["keys"], np.uint64), _joined(table["counts"], "<u4")
-    keys, at = np.unique(h, return_inverse=True)
+    n = _joined(table["counts"], "<u4")
+    keys, at = _distinct(_joined(table["keys"], KEY))
     counts = np.bincount(at, weights=n).astype("<u8")
     levels = build_index(keys)
     place = probe_index(levels, keys)
-    prints, kept = np.empty(len(keys), "<u4"), np.empty(len(keys), "<u8")
-    prints[place], kept[place] = (keys & np.uint64(0xFFFFFFFF)).astype("<u4"), counts
+    prints, kept = np.empty(len(keys), "<u8"), np.empty(len(keys), "<u8")
+    prints[place], kept[place] = keys["print"], counts
     return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "levels": pa.array([pack_levels(levels)], pa.binary()),
                      "prints": pa.array([prints.tobytes()], pa.binary()), "docs": pa.array([kept.tobytes()], pa.binary())})
 
@@ -146,16 +171,18 @@ def _probe(min_docs: int):
         blocks, found = [], []
         if left.num_rows and right.num_rows:
             levels = unpack_levels(right["levels"][0].as_py())
-            prints = np.frombuffer(right["prints"][0].as_py(), "<u4")
+            prints = np.frombuffer(right["prints"][0].as_py(), "<u8")
             docs = np.frombuffer(right["docs"][0].as_py(), "<u8")
-            for block, raw in zip(left["block"].to_pylist(), left["keys"].to_pylist()):
-                keys = np.frombuffer(raw, np.uint64)
-                place = probe_index(levels, keys)
-                same = (place >= 0) & (prints[place] == (keys & np.uint64(0xFFFFFFFF)))
-                often = keys[same & (docs[place] >= min_docs)]
-                if len(often):
+            sent = left["keys"].to_pylist()
+            ends = np.cumsum([len(x) // KEY.itemsize for x in sent])
+            keys = np.frombuffer(b"".join(sent), KEY)
+            place = probe_index(levels, keys)
+            often = (place >= 0) & (prints[place] == keys["print"]) & (docs[place] >= min_docs)
+            for block, some in zip(left["block"].to_pylist(), np.split(np.arange(len(keys)), ends[:-1])):
+                some = some[often[some]]
+                if len(some):
                     blocks.append(block)
-                    found.append(often.tobytes())
+                    found.append(keys[some].tobytes())
         return pa.table({"block": pa.array(blocks, pa.string()), "often": pa.array(found, pa.binary())})
 
     return run
@@ -178,8 +205,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", m
 
     def run(batches):
         for row, buf, off in common.blocks_in(batches):
-            starts, ends, first, h, has = line_keys(buf, off)
-            gone = has & np.isin(h, np.frombuffer(b"".join(row["often"].as_py() or []), np.uint64))
+            starts, ends, first, lines, has = line_keys(buf, off)
+            often = np.frombuffer(b"".join(row["often"].as_py() or []), KEY)
+            _, number = _distinct(np.concatenate((lines, often)))
+            gone = has & np.isin(number[:len(lines)], number[len(lines):])
             total = np.concatenate(([0], np.cumsum(gone)))
             n_gone = total[first[1:]] - total[first[:-1]]
             raw, kept = buf.tobytes(), []

@@ -316,6 +316,26 @@ def test_perfect_hash(keys):
     assert sorted(linededup.probe_index(levels, keys).tolist()) == list(range(len(keys)))
 
 
+def test_line_keys_of_one_hash():
+    """Keys that share their hash are told apart by their fingerprints, in the index and where lines are counted."""
+    keys = np.zeros(300, linededup.KEY)
+    keys["hash"], keys["print"] = np.arange(300) // 3, np.arange(300) % 3
+    levels = linededup.unpack_levels(linededup.pack_levels(linededup.build_index(keys)))
+    assert sorted(linededup.probe_index(levels, keys).tolist()) == list(range(300))
+    assert len(linededup._distinct(np.concatenate((keys, keys)))[0]) == 300
+
+
+def test_line_dedup_of_lines_that_polynomials_confuse(spark):
+    """Thue-Morse lines and their complements are the same to a polynomial sum modulo 2**64: five documents each, none in ten."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    lines = ["".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)]
+    rows = [(i, f"own {i}\n{lines[i % 2]}") for i in range(10)]
+    got = linededup.dropped_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.n_dropped for r in got.collect()} == {0}
+    got = linededup.dropped_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_docs=5)
+    assert {r.n_dropped for r in got.collect()} == {1}
+
+
 # ---------------------------------------------------------------------------- op 6
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style></head><body>
