@@ -289,9 +289,12 @@ def hit_table(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = 0.5) -> DataFrame:
     """``docs`` without the benchmark spans; a document of which more than ``max_coverage`` of the words is hit goes.
 
-    Untouched documents stay as they are; ``n_chars`` (if there) follows the new text."""
-    found = scan(docs, benchmark, "text", window)
+    Untouched documents stay as they are; ``n_chars`` (if there) follows the new text.  Null and empty texts and
+    repeated rows stay, extra columns keep their values whatever their names, and an empty table stays empty."""
     names = docs.columns
+    # the scan's own columns stand beside these, whatever the others are called
+    inner = [c if c in ("text", "n_chars") else f"c{i}" for i, c in enumerate(names)]
+    found = scan(docs.toDF(*inner), benchmark, "text", window)
 
     def run(batches):
         for b in batches:
@@ -311,7 +314,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ma
             new = {"text": pa.array(texts, b.schema.field("text").type)}
             if sizes:
                 new["n_chars"] = pa.array(sizes, b.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays([new.get(c, common.column_of(b, c)) for c in names], names=names).filter(keep)
+            yield pa.RecordBatch.from_arrays([new.get(c, common.column_of(b, c)) for c in inner], names=names).filter(keep)
 
     return found.mapInArrow(run, docs.schema)
 

@@ -228,9 +228,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 def keep_representatives(docs: DataFrame, k: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` with one row of each group: one with the group's least id (null last).
 
-    Of several such rows the first by text stays; null and repeated ids cost no group its row."""
+    Of several such rows the first by text stays; null and repeated ids cost no group its row.  Extra columns
+    keep their values whatever their names; an empty table stays empty."""
     marked = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in ("doc_id", "text")]
-    keyed = docs.withColumn("__key", F.unhex(F.md5(F.concat_ws("\x00", *marked))))  # the same only for one id and text, so one group
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    # one key only for one id and text, so for one group
+    keyed = docs.select(row, "doc_id", "text", F.unhex(F.md5(F.concat_ws("\x00", *marked))).alias("__key"))
     fps = common.written(fingerprints(keyed.select("doc_id", "__key", "text"), "text", k), "simhash-fp")
     named = rooted(fps, "doc_id", max_bits)
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -238,10 +241,9 @@ def keep_representatives(docs: DataFrame, k: int = 4, max_bits: int = 4) -> Data
     first = first.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("__key", "root").agg(F.count("*").alias("n"))
     first = common.written(first, "simhash-first")
     tied = first.groupBy("root").agg(F.sum("n").alias("n")).where("n > 1").select("root")
-    once = keyed.join(first.join(tied, "root", "left_anti").select("__key"), "__key", "left_semi").select(*docs.columns)
-    row = F.struct(*[F.col(c) for c in docs.columns])
+    once = keyed.join(first.join(tied, "root", "left_anti").select("__key"), "__key", "left_semi").select("__row.*")
     several = keyed.join(first.join(tied, "root", "left_semi").select("__key", F.col("root").alias("__root")), "__key")
-    several = (several.groupBy("__root").agg(F.min_by(row, F.struct(F.col("text"), F.xxhash64(*docs.columns))).alias("__row"))
+    several = (several.groupBy("__root").agg(F.min_by("__row", F.struct("text", F.xxhash64("__row"))).alias("__row"))
                .select("__row.*"))
     return once.unionByName(several)
 
