@@ -3,15 +3,20 @@
 All rolling word k-grams of the documents are joined with the k-gram positions
 of license templates.  A hit at document word p and template word t votes for
 the diagonal p - t; votes are counted per document, template and diagonal, and
-neighbouring diagonals (a word added or left out) are merged into one span.  A
-span is verified by how much of its template the votes cover and by how long it
-is.
+neighbouring diagonals (a word added or left out) are merged into one span,
+unless the template begins anew: that is a further mention.  A vote means that
+the words at its places are the template's, so a span is verified by how many of
+the template's words the votes cover, by whether they cover all of its deciding
+words (NonCommercial, Lesser, ...) and by how long it is.  Where verified spans
+of several licenses overlap, the one that covers most of its template stands.
 
 Besides, fixed phrases are counted wherever their words stand consecutively.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -56,7 +61,30 @@ TEMPLATES = (
     ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0"),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0"),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("cc-by-nc-nd", "Licensed under CC BY-NC-ND 4.0"),
+    ("cc-by-nc-nd", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+             "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+             "option) any later version"),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+             "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+             "option) any later version"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public License"),
 )
+# Words that tell related licenses apart; a span must hold those of its template.
+DECIDING = ("affero", "lesser", "nc", "nd", "noncommercial", "noderivatives", "sa", "sharealike")
+
+
+def deciding_places(text: str) -> list[int]:
+    """Places of the deciding words among the words of a template."""
+    return [i for i, w in enumerate(re.findall(r"[0-9a-z]+", text.lower())) if w in DECIDING]
 
 
 def _hashed(text: str) -> np.ndarray:
@@ -129,7 +157,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates=
     """(counts per row, verified spans: id, mark, template, label, first word, words, cover).
 
     ``mark`` tells different texts of one id apart; rows that repeat one another
-    have the same spans.  Null text has no words."""
+    have the same spans, each once.  Null and empty text have no words and no
+    spans.  Mentions that follow one another are spans of their own; of licenses
+    that cover as much at one place the one with most k-grams stands, then the longer span, then the later label."""
     spark = docs.sparkSession
     common.ship_package(spark)
     table, sizes = template_table(spark, templates, k)
@@ -144,23 +174,40 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates=
     counts = votes.where("template = -1").select("id", "mark", "counts.*")
     diagonals = (votes.where("template >= 0").withColumn("diagonal", F.col("word") - F.col("at"))
                  .groupBy("id", "mark", "template", "diagonal")
-                 .agg(F.min("word").alias("a"), (F.max("word") + k).alias("b"), F.collect_set("at").alias("at")))
+                 .agg(F.min("word").alias("a"), (F.max("word") + k).alias("b"), F.collect_set("at").alias("at"),
+                      F.min("at").alias("low"), F.max("at").alias("high")))
     line = Window.partitionBy("id", "mark", "template").orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(line) > drift, F.lit(True))
-    merged = (diagonals.withColumn("apart", apart.cast("int")).withColumn("span", F.sum("apart").over(line))
-              .groupBy("id", "mark", "template", "span")
+    near = diagonals.withColumn("apart", apart.cast("int")).withColumn("near", F.sum("apart").over(line))
+    along = Window.partitionBy("id", "mark", "template", "near").orderBy("a", "diagonal")
+    anew = (F.col("a") >= F.lag("b").over(along)) & (F.col("low") <= F.lag("high").over(along))
+    merged = (near.withColumn("anew", F.coalesce(anew, F.lit(False)).cast("int")).withColumn("mention", F.sum("anew").over(along))
+              .groupBy("id", "mark", "template", "near", "mention")
               .agg(F.min("a").alias("first_word"), F.max("b").alias("end"), F.flatten(F.collect_list("at")).alias("at")))
-    facts = spark.createDataFrame([(n, label, size) for n, ((label, _), size) in enumerate(zip(templates, sizes))],
-                                  "template int, label string, size int")
-    covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda t: F.sequence(t, t + (k - 1))))))
-    spans = (merged.join(F.broadcast(facts), "template").withColumn("n", F.col("end") - F.col("first_word"))
-             .withColumn("cover", covered / F.col("size"))
-             .where((F.col("cover") >= min_cover) & (F.col("n") <= max_stretch * F.col("size"))))
+    facts = spark.createDataFrame([(n, label, size, deciding_places(wording))
+                                   for n, ((label, wording), size) in enumerate(zip(templates, sizes))],
+                                  "template int, label string, size int, deciding array<int>")
+    places = F.array_distinct(F.flatten(F.transform("at", lambda t: F.sequence(t, t + (k - 1)))))
+    verified = (merged.join(F.broadcast(facts), "template").withColumn("n", F.col("end") - F.col("first_word"))
+                .withColumn("places", places).withColumn("cover", F.size("places") / F.col("size"))
+                .withColumn("grams", F.size(F.array_distinct("at")) / F.col("size"))
+                .where((F.col("cover") >= min_cover) & (F.col("n") <= max_stretch * F.col("size"))
+                       & (F.size(F.array_except("deciding", "places")) == 0)))
+    # spans that overlap are one place; its label is that of its best span
+    row = Window.partitionBy("id", "mark").orderBy("first_word", "end", "template")
+    reach = F.max("end").over(row.rowsBetween(Window.unboundedPreceding, -1))
+    placed = verified.withColumn("new", F.coalesce(F.col("first_word") >= reach, F.lit(True)).cast("int")) \
+        .withColumn("place", F.sum("new").over(row))
+    best = F.max(F.struct("cover", "grams", "n", "label")).over(Window.partitionBy("id", "mark", "place"))
+    spans = placed.withColumn("best", best).where(F.col("label") == F.col("best.label"))
     return counts, spans.select("id", "mark", "template", "label", "first_word", F.col("n").alias("words"), "cover")
 
 
 def license_table(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels, score (best cover; 1 for a phrase), n_found (spans)."""
+    """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels, score (best cover; 1 for a phrase), n_found (spans).
+
+    Null and empty texts have no words, labels '' and score 0; rows that repeat an id or a text keep a row
+    each; an empty table gives no rows."""
     counts, spans = scan(docs, id_col, text)
     found = spans.groupBy("id", "mark").agg(F.collect_set("label").alias("found"), F.max("cover").alias("cover"),
                                             F.count("*").alias("n_found")).select(

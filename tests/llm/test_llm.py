@@ -125,6 +125,36 @@ def test_license_spans(spark):
 
 # ---------------------------------------------------------------------------- op 3
 
+@pytest.mark.parametrize("text, labels", [
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "cc-by-nd"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "cc-by-nc-sa"),
+    ("Licensed under CC BY 4.0, CC BY 4.0, CC BY 4.0", "cc-by"),
+    ("Licensed under CC BY 4.0. " * 5, "cc-by"),
+    ("Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc"),
+    ("You can redistribute it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+     "gpl,lgpl"),                                                   # the base phrase stands in it
+    ("", ""), (None, "")])
+def test_license_labels(spark, text, labels):
+    docs = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
+    assert [r.labels for r in licenses.license_table(docs).collect()] == [labels] * 2
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Extra columns called like the operators' own come out with their values."""
+    columns = "doc_id long, text string, __key string, __row string, __decon_hits string, root long, c0 string"
+    rows = [(1, "alpha beta gamma delta epsilon", "a", "b", "c", 7, "d"), (2, "alpha beta gamma delta epsilon", "e", "f", "g", 8, "h"),
+            (3, None, None, "i", None, None, "j"), (None, "one two three four five six seven", "k", "l", "m", 9, "n")]
+    docs = spark.createDataFrame(rows, columns)
+    got = simhash.keep_representatives(docs)
+    assert got.columns == docs.columns
+    assert {tuple(r) for r in got.collect()} == {rows[0], rows[2], rows[3]}
+    items = spark.createDataFrame([(1, "five six seven")], "item_id long, text string")
+    got = decontaminate.remove_spans(docs, items)
+    assert got.columns == docs.columns
+    assert {tuple(r) for r in got.collect()} == {*rows[:3], (None, "one two three four ", *rows[3][2:])}
+
+
 ITEMS = [(1, "the of Über été on tion x 42 mit license the end x on of"), (2, "Short item, here!"), (3, ""), (4, None),
          (5, "été on tion x 42 mit license the end x on of the"), (10, "short"), (1, "a second row of item one " * 3)]
 
