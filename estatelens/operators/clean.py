@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from estatelens.functions import scalars as S
@@ -144,6 +144,44 @@ def clean(listings: DataFrame, p: Params = DEFAULT, check_caps: bool = True) ->
     return CleanResult(apply_clean_rules(flagged, caps_b, p), caps, flagged)
 
 
+def accounted_clean(listings: DataFrame, p: Params = DEFAULT) -> tuple[CleanResult, DataFrame]:
+    """M2: the cleaning stage and its books, from metrics observed while it runs.
+
+    One row per step in the order of the rules: ``step_no``, ``step``,
+    ``rows_before``, ``removed``, ``rows_after``; a step begins with the rows the
+    one before left, the last leaves the rows of ``cleaned``.  Each status is one
+    branch and each rule is observed in its branch, so a row that breaks two
+    rules is booked once, under the first.  Rows of other (or no) status leave in
+    the first step; an empty table has zeros throughout."""
+    parsed = parse_dates(listings)
+    rules = {k: F.coalesce(c, F.lit(False)) for k, c in drop_rule_flags(parsed).items()}
+    price = F.col("Numeric_Price")
+    sold, sale, flags, out = (Observation(f"clean-{n}") for n in ("sold", "sale", "flagged", "out"))
+    rows = F.count(F.lit(1)).alias("rows")
+    s = parsed.where(F.col("Status") == SOLD).observe(sold, rows, F.count_if(rules["sold_no_date"]).alias("gone")) \
+        .where(~rules["sold_no_date"])
+    f = parsed.where(F.col("Status") == FOR_SALE).observe(sale, rows, F.count_if(rules["forsale_broken"]).alias("gone")) \
+        .where(~rules["forsale_broken"])
+    kept = s.unionByName(latest_per_key(f, ["Property_ID"], dedup_key_order())).withColumn("is_land", land_flag(p))
+    flagged = materialize(kept.observe(flags, rows, F.count_if(
+        (F.col("Status") == SOLD) & price.isNotNull() & ~price.between(p.price_floor, p.price_ceiling)).alias("gone")), "flagged")
+    caps = materialize(landsize_caps(flagged, p), "caps")
+    cleaned = materialize(apply_clean_rules(flagged, broadcast_checked(caps, materialized=True), p).observe(out, rows), "cleaned")
+    total = listings.count()
+    a, b, c = (o.get for o in (sold, sale, flags))
+    removed = [("other_status", total - a["rows"] - b["rows"]), ("sold_no_date", a["gone"]), ("forsale_broken", b["gone"]),
+               ("forsale_repeated", a["rows"] - a["gone"] + b["rows"] - b["gone"] - c["rows"]), ("sold_price_range", c["gone"])]
+    books, left = [], total
+    for i, (step, gone) in enumerate(removed, 1):
+        books.append((i, step, left, gone, left - gone))
+        left -= gone
+    if left != out.get["rows"]:
+        raise ValueError(f"books leave {left} rows, the cleaned table has {out.get['rows']}")
+    steps = listings.sparkSession.createDataFrame(
+        books, "step_no int, step string, rows_before long, removed long, rows_after long")
+    return CleanResult(cleaned, caps, flagged), steps
+
+
 def removal_audit(listings: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """M2: rows hit by each removal/nullify rule, per status, in one pass."""
     parsed = parse_dates(listings)

@@ -68,7 +68,7 @@ def first_k_per_group(df: DataFrame, group: str, order, k: int = 3, salt: int =
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str, by=()) -> DataFrame:
-    """RMSE, MAE, MAPE (AUD) and R^2 on the log1p scale, one pass."""
+    """RMSE, MAE, MAPE (AUD) and R^2, RMSE, MAE on the log1p scale, one pass."""
     y, yh = F.col(actual), F.col(predicted)
     e = y - yh
     yl, pl = F.log1p(y), F.log1p(yh)
@@ -77,7 +77,9 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, by=()) -> Dat
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg(F.abs(e)).alias("mae"),
         (F.avg(F.abs(e / y)) * 100).alias("mape"),
-        (1 - F.sum((yl - pl) * (yl - pl)) / (F.var_pop(yl) * F.count(F.lit(1)))).alias("r2_log"))
+        (1 - F.sum((yl - pl) * (yl - pl)) / (F.var_pop(yl) * F.count(F.lit(1)))).alias("r2_log"),
+        F.sqrt(F.avg((yl - pl) * (yl - pl))).alias("rmse_log"),
+        F.avg(F.abs(yl - pl)).alias("mae_log"))
 
 
 def segment_errors(df: DataFrame, actual: str, predicted: str, top_types: DataFrame) -> DataFrame:

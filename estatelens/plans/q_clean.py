@@ -79,6 +79,21 @@ def q_clean_union(spark, sf_dir):
     return c.withColumn("LandSize_sqm", F.bround("LandSize_sqm", 4))
 
 
+@register("clean_steps", O.with_cleaned("""
+, n AS (SELECT (SELECT count(*) FROM listings) AS n0,
+  (SELECT count(*) FROM listings WHERE Status IN ('Sold', 'For Sale')) AS n1,
+  (SELECT count(*) FROM listings WHERE Status = 'For Sale')
+    + (SELECT count(*) FROM kept WHERE Status = 'Sold') AS n2,
+  (SELECT count(*) FROM kept) AS n3, (SELECT count(*) FROM dedup) AS n4, (SELECT count(*) FROM cleaned) AS n5),
+s AS (
+  SELECT 1 AS step_no, 'other_status' AS step, n0 AS a, n1 AS b FROM n
+  UNION ALL SELECT 2, 'sold_no_date', n1, n2 FROM n UNION ALL SELECT 3, 'forsale_broken', n2, n3 FROM n
+  UNION ALL SELECT 4, 'forsale_repeated', n3, n4 FROM n UNION ALL SELECT 5, 'sold_price_range', n4, n5 FROM n)
+SELECT step_no, step, CAST(a AS BIGINT) AS rows_before, CAST(a - b AS BIGINT) AS removed, CAST(b AS BIGINT) AS rows_after FROM s"""))
+def q_clean_steps(spark, sf_dir):
+    return C.accounted_clean(base.listings(spark, sf_dir))[1]
+
+
 @register("removal_audit", O.with_listings("""
 , parsed AS (SELECT *, CAST(try_strptime(Date, '%d %b %Y') AS DATE) AS Date_parsed FROM listings)
 SELECT Status, CAST(count(*) AS BIGINT) AS rows_in,

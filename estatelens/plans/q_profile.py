@@ -203,27 +203,60 @@ def q_hist(spark, sf_dir):
                     F.bround("bin_hi", 6).alias("bin_hi"))
 
 
-@register("boxplot_beds", O.with_cleaned("""
-, src AS (SELECT CAST(Beds AS INT) AS Beds, ln(1 + Numeric_Price) AS y FROM cleaned
-          WHERE Status = 'Sold' AND Numeric_Price IS NOT NULL AND Beds BETWEEN 0 AND 7),
-q AS (SELECT Beds, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.5) AS median,
-         quantile_cont(y, 0.75) AS q3, count(*) AS n FROM src GROUP BY Beds)
-SELECT q.Beds, round_even(q1, 6) AS q1, round_even(median, 6) AS median, round_even(q3, 6) AS q3,
+def _box_sql(by, source):
+    """Quartiles, whiskers and outliers of ``y`` per ``by`` in ``source`` (a CTE src)."""
+    return O.with_cleaned(f"""
+, src AS ({source}),
+q AS (SELECT {by}, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.5) AS median,
+         quantile_cont(y, 0.75) AS q3, count(*) AS n FROM src GROUP BY {by})
+SELECT q.{by}, round_even(q1, 6) AS q1, round_even(median, 6) AS median, round_even(q3, 6) AS q3,
   CAST(n AS BIGINT) AS n,
   round_even(min(y) FILTER (WHERE y >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_lo,
   round_even(max(y) FILTER (WHERE y <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_hi,
   CAST(count(*) FILTER (WHERE y < q1 - 1.5 * (q3 - q1) OR y > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS n_outliers
-FROM q JOIN src ON q.Beds = src.Beds GROUP BY q.Beds, q1, median, q3, n"""))
-def q_boxplot(spark, sf_dir):
-    c = base.cleaned(spark, sf_dir).where("Status = 'Sold' AND Numeric_Price IS NOT NULL "
-                                          "AND Beds BETWEEN 0 AND 7")
-    src = c.select(F.col("Beds").cast("int").alias("Beds"), F.log1p("Numeric_Price").alias("y"))
-    b = PR.boxplot(src, "y", "Beds")
-    return b.select("Beds", *[F.bround(k, 6).alias(k) for k in ["q1", "median", "q3"]], "n",
+FROM q JOIN src ON q.{by} = src.{by} GROUP BY q.{by}, q1, median, q3, n""")
+
+
+def _box(src, by):
+    b = PR.boxplot(src, "y", by)
+    return b.select(by, *[F.bround(k, 6).alias(k) for k in ["q1", "median", "q3"]], "n",
                     F.bround("whisker_lo", 6).alias("whisker_lo"),
                     F.bround("whisker_hi", 6).alias("whisker_hi"), "n_outliers")
 
 
+def _rooms_sql(by, top):
+    return _box_sql(by, f"""SELECT CAST({by} AS INT) AS {by}, ln(1 + Numeric_Price) AS y FROM cleaned
+          WHERE Status = 'Sold' AND Numeric_Price IS NOT NULL AND {by} BETWEEN 0 AND {top}""")
+
+
+def _rooms_box(spark, sf_dir, by, top):
+    c = base.cleaned(spark, sf_dir).where(f"Status = 'Sold' AND Numeric_Price IS NOT NULL AND {by} BETWEEN 0 AND {top}")
+    return _box(c.select(F.col(by).cast("int").alias(by), F.log1p("Numeric_Price").alias("y")), by)
+
+
+@register("boxplot_beds", _rooms_sql("Beds", 7))
+def q_boxplot(spark, sf_dir):
+    return _rooms_box(spark, sf_dir, "Beds", 7)
+
+
+@register("boxplot_baths", _rooms_sql("Baths", 5))
+def q_boxplot_baths(spark, sf_dir):
+    return _rooms_box(spark, sf_dir, "Baths", 5)
+
+
+@register("boxplot_types", _box_sql("Property_Type", """
+  SELECT Property_Type, ln(1 + Numeric_Price) AS y FROM cleaned
+  WHERE Status = 'Sold' AND Numeric_Price IS NOT NULL AND Property_Type IN (
+    SELECT Property_Type FROM cleaned WHERE Status = 'Sold' AND Numeric_Price IS NOT NULL AND Property_Type IS NOT NULL
+    GROUP BY Property_Type ORDER BY count(*) DESC, Property_Type LIMIT 8)"""))
+def q_boxplot_types(spark, sf_dir):
+    """The eight types with most priced sales."""
+    sold = base.cleaned(spark, sf_dir).where("Status = 'Sold' AND Numeric_Price IS NOT NULL AND Property_Type IS NOT NULL")
+    top = sold.groupBy("Property_Type").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "Property_Type").limit(8)
+    src = sold.join(F.broadcast(top.select("Property_Type")), "Property_Type", "left_semi")   # eight rows
+    return _box(src.select("Property_Type", F.log1p("Numeric_Price").alias("y")), "Property_Type")
+
+
 @register("sanity", O.with_cleaned("""
 SELECT Status, max(Beds) AS max_beds, max(Baths) AS max_baths, max(Car_Spaces) AS max_cars,
   round_even(max(LandSize_sqm), 4) AS max_land, min(Numeric_Price) AS min_price, max(Numeric_Price) AS max_price,

@@ -90,13 +90,15 @@ def q_error_columns(spark, sf_dir):
 , t AS (SELECT Numeric_Price AS y, {standin.PRED} AS p FROM split WHERE fold = 'test')
 SELECT CAST(count(*) AS BIGINT) AS n, round_even(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
   round_even(avg(abs(y - p)), 4) AS mae, round_even(avg(abs((y - p) / y)) * 100, 6) AS mape,
-  round_even(1 - sum((ln(1 + y) - ln(1 + p)) * (ln(1 + y) - ln(1 + p))) / (var_pop(ln(1 + y)) * count(*)), 6) AS r2_log
+  round_even(1 - sum((ln(1 + y) - ln(1 + p)) * (ln(1 + y) - ln(1 + p))) / (var_pop(ln(1 + y)) * count(*)), 6) AS r2_log,
+  round_even(sqrt(avg((ln(1 + y) - ln(1 + p)) * (ln(1 + y) - ln(1 + p)))), 6) AS rmse_log,
+  round_even(avg(abs(ln(1 + y) - ln(1 + p))), 6) AS mae_log
 FROM t"""))
 def q_metrics(spark, sf_dir):
     t = split(spark, sf_dir).where("fold = 'test'").withColumn("pred", F.expr(standin.PRED))
     m = SC.regression_metrics(t, "Numeric_Price", "pred")
     return m.select("n", F.bround("rmse", 4).alias("rmse"), F.bround("mae", 4).alias("mae"),
-                    F.bround("mape", 6).alias("mape"), F.bround("r2_log", 6).alias("r2_log"))
+                    *[F.bround(c, 6).alias(c) for c in ("mape", "r2_log", "rmse_log", "mae_log")])
 
 
 @register("segment_errors", O.with_cleaned(FEAT_CTES + f"""
