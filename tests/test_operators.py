@@ -214,3 +214,31 @@ def test_running_totals_with_outlier_spread_evenly(spark):
     pdf = pd.DataFrame({"k": 1, "x": np.r_[np.arange(3000.0), 1e300], "w": 1})
     out = running_totals(spark.createDataFrame(pdf), ["k"], "x", ["w"], buckets=16).toPandas().sort_values("x")
     assert (out["cum_w"].to_numpy() == np.arange(1, 3002)).all()
+
+
+def test_cleaning_books_reconcile(spark):
+    """Every step begins with the rows the one before left; a row that breaks two rules is booked once."""
+    from estatelens.operators.clean import accounted_clean, clean
+    schema = ("Property_ID string, Status string, Date string, Property_Type string, Beds double, Baths double, "
+              "Car_Spaces double, LandSize_sqm double, Latitude double, Longitude double, Numeric_Price double, "
+              "Raw_Price string, Last_Updated string")
+
+    def row(i, status, date, kind, price, raw="$x", land=500.0, updated="2024-01-01"):
+        return (i, status, date, kind, 3.0, 1.0, 1.0, land, -37.8, 145.0, price, raw, updated)
+
+    rows = [row("a", "Sold", "01 Jan 2024", "House", 5e5), row("a", "Sold", "01 Jan 2024", "House", 5e5),
+            row("b", "Sold", None, "House", 5.0),                       # no date and out of range: booked under the date
+            row("c", "Sold", "02 Jan 2024", "House", 5.0), row("d", "Sold", "02 Jan 2024", "House", None),
+            row("e", "For Sale", None, None, None, None, None), row("f", "For Sale", None, "House", 5.0),
+            row("f", "For Sale", None, "House", 6e5, updated="2024-02-01"), row(None, "For Sale", None, "House", 6e5),
+            row(None, "For Sale", None, "House", 6e5), row("g", "Withdrawn", None, "House", 6e5),
+            row("h", None, None, "House", 6e5)]
+    df = spark.createDataFrame(rows, schema)
+    result, steps = accounted_clean(df)
+    got = {r.step: (r.rows_before, r.removed, r.rows_after) for r in steps.collect()}
+    assert got == {"other_status": (12, 2, 10), "sold_no_date": (10, 1, 9), "forsale_broken": (9, 1, 8),
+                   "forsale_repeated": (8, 2, 6), "sold_price_range": (6, 1, 5)}
+    assert result.cleaned.count() == 5
+    assert sorted(map(str, result.cleaned.collect())) == sorted(map(str, clean(df).cleaned.collect()))
+    _, steps = accounted_clean(df.limit(0))
+    assert {(r.rows_before, r.removed, r.rows_after) for r in steps.collect()} == {(0, 0, 0)}
