@@ -199,16 +199,6 @@ def price_bucket(price) -> Column:
     return expr
 
 
-def price_bucket_ordinal(price) -> Column:
-    x = _c(price)
-    e = P.PRICE_BUCKET_EDGES
-    expr = None
-    for i in range(len(e) - 1):
-        cond = (x > e[i]) & (x <= e[i + 1])
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr
-
-
 # H18 -----------------------------------------------------------------------
 def mercator_xy(lat, lon) -> tuple[Column, Column]:
     r = P.MERCATOR_RADIUS_M
@@ -240,15 +230,6 @@ def grid_cell(lat, lon, n: int = 14, lat_rng=(-38.5, -37.5),
     return F.when(inside, F.least(row, F.lit(n - 1)) * n + F.least(col, F.lit(n - 1)))
 
 
-# H22 / H23 -----------------------------------------------------------------
-def norm_name(x) -> Column:
-    return F.upper(F.trim(_c(x)))
-
-
+# H23 -----------------------------------------------------------------------
 def stamp(as_of: _dt.date) -> Column:
     return F.lit(as_of)
-
-
-def nan_to_null(x) -> Column:
-    c = _c(x)
-    return F.when(~F.isnan(c), c)

@@ -93,7 +93,6 @@ class Params:
     rail_route_types: tuple = ("2",)
     lenient_rail: bool = False
     as_of: _dt.date = field(default=_dt.date(2026, 5, 2))
-    quantile_buckets: int = 256
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -79,22 +79,34 @@ def read_listings_csv(spark: SparkSession, path: str,
     """A1 + A2 + T1/T3/T4: dialect probe, every cell read as a string and cast
     afterwards, so that a bad cell is null and never costs its row.  Rows with
     more fields than the header are dropped (separators inside quotes do not
-    count), short rows are padded with nulls.  Quoted line breaks are kept: only
-    an input that has them is read record by record instead of in splits."""
+    count), short rows are padded with nulls.  Quoted line breaks are kept: a file
+    with a line of an odd number of quotes is read record by record, all other
+    files in splits."""
     enc, sep = probe_dialect(spark, path)
     names = [_clean_name(x) for x in spark.read.text(path).first()[0].split(sep)]
     fields = {f.name: f.dataType for f in schema.fields}
     open_quote = F.pmod(F.length("value") - F.length(F.translate("value", '"', "")), F.lit(2)) == 1
-    spans_lines = not spark.read.text(path).where(open_quote).isEmpty()
+    file = F.col("_metadata.file_path")
+    # one name a file at most: no more than the driver lists to plan the read
+    unsplit = [r[0] for r in spark.read.text(path).where(open_quote).select(file).distinct().collect()]
     file_schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_corrupt"]])
-    df = (spark.read.schema(file_schema).option("header", True).option("sep", sep)
-          .option("encoding", enc).option("mode", "PERMISSIVE").option("escape", '"')
-          .option("multiLine", spans_lines)
-          .option("columnNameOfCorruptRecord", "_corrupt").option("enforceSchema", True).csv(path))
+
+    def read(multi_line: bool) -> DataFrame:
+        return (spark.read.schema(file_schema).option("header", True).option("sep", sep)
+                .option("encoding", enc).option("mode", "PERMISSIVE").option("escape", '"')
+                .option("multiLine", multi_line)
+                .option("columnNameOfCorruptRecord", "_corrupt").option("enforceSchema", True).csv(path))
+
+    df = read(False)
+    if unsplit:
+        df = df.where(~file.isin(unsplit)).unionByName(read(True).where(file.isin(unsplit)))
     # all columns are strings: only a wrong number of fields marks a row
     bare = F.regexp_replace("_corrupt", '"(?:[^"]|"")*"', "")
     too_long = F.size(F.split(bare, sep, -1)) > len(names)
-    df = df.where(~F.coalesce(F.col("_corrupt").isNotNull() & too_long, F.lit(False))).drop("_corrupt")
+    dropped = F.coalesce(F.col("_corrupt").isNotNull() & too_long, F.lit(False))
+    # never true: a count of the rows would else read the corrupt column alone, which Spark refuses
+    dropped = dropped | F.coalesce(F.length(F.col(f"`{names[0]}`")) < 0, F.lit(False))
+    df = df.where(~dropped).drop("_corrupt")
     return df.select(*[_typed(F.col(f"`{n}`"), fields.get(n, T.StringType())).alias(n) for n in names])
 
 

@@ -101,3 +101,16 @@ def test_nearest_distance_is_per_row(spark):
     stops = spark.createDataFrame([("s", -37.8, 144.9)], "stop_id string, stop_lat double, stop_lon double")
     got = nearest_distance_km(points, stops, "id", "lat", "lon").collect()
     assert len(got) == 3 and {(r.id, r.dist_nearest_train_km == 0) for r in got if r.lat} == {("x", True), ("x", False)}
+
+
+def test_only_files_with_quoted_breaks_are_read_whole(spark, tmp_path):
+    """One file of two has a quoted line break, and its name has a space; an inch mark counts as a quote too."""
+    head = ",".join(HEADER) + "\n"
+    (tmp_path / "a b.csv").write_text(head + '1,Sold,"Carlton\nNorth",3054,House,3,1\n2,Sold,Kew,3101,House,2,5\n')
+    (tmp_path / "c.csv").write_text(head + "".join(f"{i},Sold,Kew,3101,House,2,5\n" for i in range(10, 40)))
+    got = read_listings_csv(spark, str(tmp_path))
+    names = {r.Property_ID: r.Suburb for r in got.collect()}
+    assert names == {"1": "Carlton\nNorth", "2": "Kew", **{str(i): "Kew" for i in range(10, 40)}}
+    assert got.count() == 32
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation") == 2          # one read in splits, one record by record
