@@ -6,10 +6,10 @@ distinct documents each normalised line stands; lines above a limit are
 boilerplate, and a document that is left with too little besides them is
 depleted.
 
-``kept_documents`` (the pipeline's stage) tells documents apart there by their
-whole normalised text, so only copies count as one.  ``judged`` (op5) does as its
-oracle SQL does and tells them apart by their longest line; documents whose longest
-line is the shared one count as one to it.
+Documents are told apart there by their whole normalised text, so only copies count
+as one.  ``judged`` (op5) returns counts and the verdict, ``kept_documents`` (the
+pipeline's stage) the rows that pass, without their frequent lines; both rest on
+``boilerplate``.
 """
 
 from __future__ import annotations
@@ -101,16 +101,15 @@ def normal_lines(text: Column) -> Column:
     return F.transform(solid_lines(F.coalesce(text, F.lit(""))), lambda x: F.lower(F.btrim(x, F.lit(SPACE))))
 
 
-def line_table(docs: DataFrame, id_col: str, host: str, text: str, whole: bool) -> DataFrame:
-    """(key, host, doc, line, n): hashes and word counts of all lines, written as they are read more than once.
+def line_table(docs: DataFrame, id_col: str, host: str, text: str) -> DataFrame:
+    """(key, host, doc, place, line, n): hashes and word counts of all lines, written as they are read more than once.
 
-    ``doc`` tells documents apart: by their whole normalised text, or by their longest line alone."""
-    longest = F.array_max(F.transform("lines", lambda x: F.struct(F.length(x), x)))
+    ``doc`` tells documents apart: copies of a whole normalised text are one."""
     lines = (docs.select(row_key(id_col, host, text).alias("key"), F.coalesce(F.concat(F.lit("="), F.col(host)), F.lit("")).alias("host"),
                          normal_lines(F.col(text)).alias("lines"))
-             .withColumn("doc", F.xxhash64("lines" if whole else longest))
-             .select("key", "host", "doc", F.explode("lines").alias("line"))
-             .select("key", "host", "doc", F.xxhash64("line").alias("line"), F.size(words_of(F.col("line"))).alias("n")))
+             .withColumn("doc", F.xxhash64("lines"))
+             .select("key", "host", "doc", F.posexplode("lines").alias("place", "line"))
+             .select("key", "host", "doc", "place", F.xxhash64("line").alias("line"), F.size(words_of(F.col("line"))).alias("n")))
     return common.written(lines, "quality-lines")
 
 
@@ -120,36 +119,38 @@ def frequent_lines(lines: DataFrame, max_docs: int) -> DataFrame:
             .where(F.col("docs") > max_docs).select("host", "line", F.lit(True).alias("common")))
 
 
-def depleted(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: str = "text",
-             max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
-    """(key, removed_words): the documents of which less than ``min_left`` stands outside frequent lines.
-
-    A line is trimmed and lower-cased; blank lines count nowhere.  Rows without
-    a host are a host of their own.  Repeated rows give one key."""
-    lines = line_table(docs, id_col, host, text, False)
-    # words of frequent lines by document: one row per line, joined with the few frequent ones
-    per_doc = (lines.groupBy("key", "host", "line").agg(F.sum("n").alias("n"))
-               .join(frequent_lines(lines, max_docs), ["host", "line"], "left").groupBy("key")
-               .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("common"), F.col("n")).otherwise(0)).alias("removed")))
-    return per_doc.where(F.col("n") - F.col("removed") < min_left * F.col("n")).select("key", F.col("removed").alias("removed_words"))
+def boilerplate(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: str = "text",
+                max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
+    """(key, lines, n_removed_lines, n_removed_words, depleted): the documents that hold frequent lines.
+
+    ``lines`` are the hashes of those lines, the counts say how often they stand in the
+    document and with how many words; of a depleted one less than ``min_left`` of the words
+    is left.  A line is trimmed and lower-cased; blank lines count nowhere.  Rows without a
+    host are a host of their own.  Repeated rows give one key, with the counts of one row."""
+    lines = line_table(docs, id_col, host, text)
+    held = (lines.join(frequent_lines(lines, max_docs), ["host", "line"]).groupBy("key")
+            .agg(F.sum("n").alias("removed"), F.count("*").alias("places"), F.collect_set("line").alias("lines")))
+    total = lines.groupBy("key").agg(F.sum("n").alias("n"), F.count_if(F.col("place") == 0).alias("rows"))
+    of_one = lambda c: F.expr(f"{c} div rows")
+    return held.join(total, "key").select("key", "lines", of_one("places").alias("n_removed_lines"), of_one("removed").alias("n_removed_words"),
+                                          (F.col("n") - F.col("removed") < min_left * F.col("n")).alias("depleted"))
 
 
 def judged(docs: DataFrame, **limits) -> DataFrame:
-    """``docs`` (doc_id, source, text) with the counts of the base rules and ``kept``."""
-    found = base_rules(docs.withColumn("__key", row_key()))
-    gone = depleted(docs, **limits).select(F.col("key").alias("__gone"))
-    return (found.drop("text").join(gone, F.col("__key") == F.col("__gone"), "left")
-            .withColumn("kept", ~F.col("base_failed") & F.col("__gone").isNull()).drop("__key", "__gone"))
-
-
-def boilerplate(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: str = "text",
-                max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT, whole: bool = True) -> DataFrame:
-    """(key, lines, depleted): the documents that hold frequent lines, with the hashes of those lines."""
-    lines = line_table(docs, id_col, host, text, whole)
-    held = (lines.join(frequent_lines(lines, max_docs), ["host", "line"]).groupBy("key")
-            .agg(F.sum("n").alias("removed"), F.collect_set("line").alias("lines")))
-    total = lines.groupBy("key").agg(F.sum("n").alias("n"))
-    return held.join(total, "key").select("key", "lines", (F.col("n") - F.col("removed") < min_left * F.col("n")).alias("depleted"))
+    """``docs`` (doc_id, source, text) but for the text, with the counts of the base rules, of removed lines, and ``kept``.
+
+    A null or empty text has no words and is not kept; repeated rows are judged alike, each
+    by itself; an empty table gives none.  Other columns stay, whatever their names, unless
+    they are those of a count."""
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    mine = (*counts, "n_removed_lines", "n_removed_words", "kept")
+    own = [c for c in docs.columns if c != "text" and c not in mine]
+    found = boilerplate(docs.select("doc_id", "source", "text"), **limits).drop("lines").withColumnRenamed("key", "__gone")
+    rows = base_rules(docs.select(F.struct(*[F.col(c) for c in own]).alias("__row"), row_key().alias("__key"), "text")).drop("text")
+    kept = ~F.col("base_failed") & ~F.coalesce("depleted", F.lit(False))
+    return (rows.join(found, F.col("__key") == F.col("__gone"), "left")
+            .select(*[F.col("__row")[c].alias(c) for c in own], *counts,
+                    *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_removed_lines", "n_removed_words")], kept.alias("kept")))
 
 
 def without_lines(text: Column, gone: Column) -> Column:
@@ -162,7 +163,8 @@ def without_lines(text: Column, gone: Column) -> Column:
 def kept_documents(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs`` that pass, without their frequent lines, with their own columns and no others.
 
-    Texts without frequent lines stay as they are; ``n_chars`` (if there) follows a changed text."""
+    Texts without frequent lines stay as they are; ``n_chars`` (if there) follows a changed text.
+    Null and empty texts go by the base rules; repeated rows stay or go together."""
     found = boilerplate(docs.select("doc_id", "source", "text"), **limits)
     found = found.select(F.col("key").alias("__found"), F.col("lines").alias("__lines"), F.col("depleted").alias("__depleted"))
     mark = F.struct(*[F.col(c) for c in docs.columns]).alias("__row")
@@ -181,7 +183,7 @@ def kept_documents(docs: DataFrame, **limits) -> DataFrame:
 def op5(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     return judged(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                               "base_failed", "kept")
+                               "base_failed", "kept", "n_removed_lines", "n_removed_words")
 
 
 _WS = r"[\x20\x09-\x0D]+"
@@ -198,30 +200,31 @@ WITH d AS (
 ), cov AS (
   SELECT rid, count(DISTINCT i + j) AS r FROM rep, (SELECT unnest(generate_series(0, {WINDOW - 1})) AS j) GROUP BY rid
 ), raw_lines AS (
-  SELECT rid, host, unnest(string_split(t, chr(10))) AS line FROM d
+  SELECT rid, host, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS place FROM d
 ), lines AS (
-  SELECT rid, host, line AS raw, lower(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS line
+  SELECT rid, host, place, line AS raw, lower(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS line
   FROM raw_lines WHERE regexp_replace(line, '{_WS}', '', 'g') <> ''
 ), dup AS (
   SELECT rid, count(*) - count(DISTINCT raw) AS n_dup FROM lines GROUP BY rid
-), longest AS (
-  SELECT rid, max({{'a': length(line), 'b': line}}) AS doc FROM lines GROUP BY rid
+), whole AS (
+  SELECT rid, md5(string_agg(line, chr(10) ORDER BY place)) AS doc FROM lines GROUP BY rid
 ), frequent AS (
-  SELECT host, line FROM lines JOIN longest USING (rid) GROUP BY host, line HAVING count(DISTINCT doc) > {MAX_DOCS}
+  SELECT host, line FROM lines JOIN whole USING (rid) GROUP BY host, line HAVING count(DISTINCT doc) > {MAX_DOCS}
 ), left_over AS (
-  SELECT rid, sum(n) AS n, coalesce(sum(n) FILTER (f), 0) AS removed FROM (
+  SELECT rid, sum(n) AS n, coalesce(sum(n) FILTER (f), 0) AS removed, count(*) FILTER (f) AS removed_lines FROM (
     SELECT rid, len(list_filter(regexp_split_to_array(l.line, '{_WS}'), lambda x: x <> '')) AS n, f.line IS NOT NULL AS f
     FROM lines l LEFT JOIN frequent f ON l.host = f.host AND l.line = f.line) GROUP BY rid
 ), counted AS (
   SELECT d.doc_id, len(w.ws)::BIGINT AS n_words, len(regexp_replace(t, '{_WS}', '', 'g'))::BIGINT AS word_chars,
          len(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(r, 0)::BIGINT AS n_repeat_words,
-         coalesce(l.n - l.removed < {MIN_LEFT} * l.n, false) AS depleted
+         coalesce(l.n - l.removed < {MIN_LEFT} * l.n, false) AS depleted,
+         coalesce(removed_lines, 0)::BIGINT AS n_removed_lines, coalesce(removed, 0)::BIGINT AS n_removed_words
   FROM d JOIN w USING (rid) LEFT JOIN cov USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN left_over l USING (rid)
 ), judged AS (
   SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT depleted AS kept
+       NOT base_failed AND NOT depleted AS kept, n_removed_lines, n_removed_words
 FROM judged
 """
