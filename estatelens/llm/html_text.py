@@ -3,15 +3,23 @@
 The standard parser is fed piece by piece; its events become lines, one per
 block of text, each with its characters and the tags met in it.  The ratio of
 text to tags per line is smoothed with a Gaussian, and a threshold clusters the
-lines into content and the rest.  The regions that content lines stand in are
-kept whole, so that a short paragraph between long ones stays, and what is
-marked as something else (menus, footers, adverts, forms, comments) never counts.
+lines into content and the rest.  What a page says about its parts only weighs in:
+a line of an article counts more, one of a menu, a footer, an advert or reader
+comments much less, one of a vague name (``legal``, ``related``) a little less.
+
+The regions of content are the articles that hold content lines or, where none
+does, the nearest container that holds nearly all content.  A region is kept whole,
+so that a short paragraph between long ones stays; only its lines that are marked
+as something else must reach the threshold themselves.  Pages without a content
+line have no text.
 """
 
 from __future__ import annotations
 
+import collections
 import re
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +30,12 @@ from estatelens.llm import common
 
 PIECE = 1 << 16
 SIGMA = 1.0
-#: A line is content if its smoothed ratio reaches this share of the mean over lines with text.
+#: A line is content if its smoothed ratio reaches this share of the mean over unmarked lines.
 THRESHOLD = 0.5
+#: What a ratio counts in an article, under a mark, and under a vague mark in and outside an article.
+ARTICLE, MARK, VAGUE_INSIDE, VAGUE = 3.0, 0.05, 0.6, 0.2
+#: The share of the content's characters that makes a container the region.
+SHARE = 0.9
 
 # Elements by what they are.
 SILENT = {"script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "canvas", "select", "button",
@@ -34,37 +46,59 @@ BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "cente
           "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li",
           "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-REGIONS = {"article", "main", "section", "div", "td", "body"}
+CONTAINERS = {"article", "main", "section", "div", "td", "body", "ul", "ol", "dl", "table", "blockquote"}
 ENDS_PARAGRAPH = BLOCKS - {"body", "html"}
 MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|banner|breadcrumbs?|menu|nav|navbar|navigation|sidebar|side|footer|"
-    r"header|masthead|cookies?|consent|gdpr|notice|popup|modal|newsletter|subscribe|signup|share|sharing|social|related|recommended|"
-    r"comments?|comment-list|disqus|replies|widget|toolbar|pagination|pager|legal|copyright|skip)(?:$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|breadcrumbs?|menu|nav|navbar|navigation|sidebar|footer|"
+    r"masthead|cookies?|consent|gdpr|popup|modal|newsletter|subscribe|signup|share|sharing|social|"
+    r"comments?|comment-list|disqus|replies|pagination|pager)(?:$|[\s_-])", re.I)
+UNSURE = re.compile(
+    r"(?:^|[\s_-])(?:banner|header|notice|related|recommended|side|widget|toolbar|legal|copyright|skip)(?:$|[\s_-])", re.I)
 REMARKS = re.compile(r"(?:^|[\s_-])(?:comments?|comment-list|disqus|replies)(?:$|[\s_-])", re.I)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar", "form"}
 
 
+class Open(NamedTuple):
+    """An open element: what its text is."""
+    tag: str = ""
+    silent: bool = False
+    mark: str = ""  # "", "vague", "name" (of a class) or "tag"
+    container: int = 0
+    article: int = 0  # the innermost article's container
+
+
+class Line(NamedTuple):
+    text: str
+    ratio: float
+    linked: int
+    mark: str
+    container: int
+    article: int
+
+
 class Lines(HTMLParser):
-    """Lines of a page: text, tags, region, and whether they may be content."""
+    """Lines of a page, and its containers by their parents (a parent's number is smaller)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool, int, bool]] = []  # tag, silent, aside, region, in an article
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
+        self.open: list[Open] = []
+        self.lines: list[Line] = []
+        self.parents = [0]
+        self.tops = {0}  # the page itself and its body
         self.text: list[str] = []
-        self.tags = 0
-        self.regions = 0
+        self.tags = self.links = self.linked = 0
 
-    def _top(self):
-        return self.open[-1] if self.open else ("", False, False, 0, False)
+    def _top(self) -> Open:
+        return self.open[-1] if self.open else Open()
 
     def flush(self):
         line = " ".join("".join(self.text).split())
-        _, _, aside, region, article = self._top()
         if line:
-            self.lines.append((line, max(1, self.tags), region, aside, article))
+            top = self._top()
+            self.lines.append(Line(line, len(line) / max(1, self.tags), self.linked, top.mark, top.container, top.article))
             self.tags = 0
         self.text = []
+        self.linked = 0
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -75,6 +109,7 @@ class Lines(HTMLParser):
             self.flush()
         if tag in VOID:
             return
+        self.links += tag == "a"
         if tag in ENDS_PARAGRAPH:
             self._close("p", {"td", "th", "div", "section", "article", "li", "body", "button"})
         if tag == "li":
@@ -87,34 +122,42 @@ class Lines(HTMLParser):
                 self._close(cell, {"table"})
         elif tag == "body":
             self._close("head", set())
-        _, silent, aside, region, article = self._top()
+        top = self._top()
         told = dict(attrs)
         label = f"{told.get('class') or ''} {told.get('id') or ''}"
-        silent = silent or tag in SILENT or "hidden" in told or told.get("aria-hidden") == "true" \
+        silent = top.silent or tag in SILENT or "hidden" in told or told.get("aria-hidden") == "true" \
             or "display:none" in (told.get("style") or "").replace(" ", "").lower()
-        if tag in ("article", "main") and not any(x[0] == "remarks" for x in self.open) and not REMARKS.search(label):
-            # an article ends what was left open around it: menus and notices do not hold articles
-            aside, article = False, True
-            self.regions += 1
-            region = self.regions
-        elif tag in REGIONS and not article:
-            self.regions += 1
-            region = self.regions
-        if tag not in ("html", "body", "article", "main"):
-            if tag in HEADINGS and article and self._in_header_of_article():
-                aside = False
-            else:
-                aside = aside or tag in ASIDE or (told.get("role") or "").lower() in ROLES or bool(MARKED.search(label))
-        elif REMARKS.search(label) and tag not in ("html", "body"):
-            aside = True
-        if REMARKS.search(label):
-            self.open.append(("remarks", silent, aside, region, article))
-        self.open.append((tag, silent, aside, region, article))
+        container, article, mark = top.container, top.article, top.mark
+        if tag in CONTAINERS:
+            self.parents.append(container)
+            container = len(self.parents) - 1
+            if tag == "body":
+                self.tops.add(container)
+        remarks = bool(REMARKS.search(label))
+        if remarks and tag not in ("html", "body"):
+            mark = "tag"
+        elif tag in ("article", "main"):
+            if not any(x.tag == "remarks" for x in self.open):
+                # an article ends what was left open around it: menus and notices do not hold articles
+                mark, article = "", container
+        elif tag in HEADINGS:
+            if article and self._in_header_of_article():
+                mark = ""
+        elif tag not in ("html", "body"):
+            if tag in ASIDE or (told.get("role") or "").lower() in ROLES:
+                mark = "tag"
+            elif MARKED.search(label):
+                mark = mark if mark == "tag" else "name"
+            elif UNSURE.search(label):
+                mark = mark or "vague"
+        if remarks:
+            self.open.append(Open("remarks", silent, mark, container, article))
+        self.open.append(Open(tag, silent, mark, container, article))
 
     def _in_header_of_article(self) -> bool:
         """Within an article's own header, and nothing else that does not count."""
-        inside = [x for x in self.open if x[2]]
-        return bool(inside) and all(x[0] in ("header", "div", "hgroup") for x in inside) and inside[0][0] == "header"
+        inside = [x for x in self.open if x.mark]
+        return bool(inside) and all(x.tag in ("header", "div", "hgroup") for x in inside) and inside[0].tag == "header"
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -124,29 +167,33 @@ class Lines(HTMLParser):
     def _close(self, tag: str, up_to: set):
         """Close an open ``tag`` that no element of ``up_to`` hides."""
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
+            if self.open[i].tag == tag:
                 self.flush()
                 del self.open[i:]
                 return
-            if self.open[i][0] in up_to:
+            if self.open[i].tag in up_to:
                 return
 
     def handle_endtag(self, tag):
         self.tags += 1
+        if tag == "a":
+            self.links = max(0, self.links - 1)
         if tag in BLOCKS:
             self.flush()
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                if any(x[0] in BLOCKS for x in self.open[i + 1:]):
+            if self.open[i].tag == tag:
+                if any(x.tag in BLOCKS for x in self.open[i + 1:]):
                     self.flush()
                 del self.open[i:]
-                if self.open and self.open[-1][0] == "remarks":
+                if self.open and self.open[-1].tag == "remarks":
                     self.open.pop()
                 return
 
     def handle_data(self, data):
-        if not self._top()[1]:
+        if not self._top().silent:
             self.text.append(data)
+            if self.links:
+                self.linked += len(data)
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -155,6 +202,52 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(np.pad(ratios, reach, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
+def weight(line: Line, named: bool) -> float:
+    """What a line's ratio counts; class names count for nothing if not ``named``."""
+    mark = line.mark if named or line.mark == "tag" else ""
+    if mark in ("tag", "name"):
+        return MARK
+    own = ARTICLE if line.article else 1.0
+    return own * (VAGUE_INSIDE if line.article else VAGUE) if mark else own
+
+
+def region(page: Lines, content: np.ndarray) -> np.ndarray:
+    """Which lines the region of the content lines holds, marked ones too."""
+    lines = page.lines
+    articles = {x.article for x, c in zip(lines, content) if c and x.article}
+    if articles:
+        return np.array([x.article in articles for x in lines])
+    mass = [0] * len(page.parents)
+    for x, c in zip(lines, content):
+        mass[x.container] += c * len(x.text)
+    for i in range(len(mass) - 1, 0, -1):
+        mass[page.parents[i]] += mass[i]
+    main = 0
+    for i in range(1, len(mass)):  # parents come first, and only one child can hold so much
+        if page.parents[i] == main and mass[i] >= SHARE * mass[0]:
+            main = i
+    # the child of the region that a container is in, -1 outside
+    branch = [-1] * len(mass)
+    branch[main] = main
+    for i in range(main + 1, len(mass)):
+        parent = page.parents[i]
+        branch[i] = i if parent == main else branch[parent]
+    linked, size = collections.Counter(), collections.Counter()
+    for x in lines:
+        linked[branch[x.container]] += x.linked
+        size[branch[x.container]] += len(x.text)
+    # smoothing makes content of a menu's lines beside the article's: most of a child's text decides
+    full = {b for b in size if b == main or 2 * mass[b] > size[b]} or {b for b in size if b >= 0 and mass[b]}
+    inner = [i for i, (x, c) in enumerate(zip(lines, content)) if c and branch[x.container] in full]
+
+    def holds(i: int, x: Line) -> bool:
+        b = branch[x.container]
+        return b >= 0 and (b in full or (bool(inner) and inner[0] < i < inner[-1])
+                           or (main not in page.tops and 2 * linked[b] <= size[b]))
+
+    return np.array([holds(i, x) for i, x in enumerate(lines)])
+
+
 def main_text(html: str | None, sigma: float = SIGMA, threshold: float = THRESHOLD) -> str:
     """Blocks of the main text joined by an empty line; "" if there is none."""
     page = Lines()
@@ -164,18 +257,19 @@ def main_text(html: str | None, sigma: float = SIGMA, threshold: float = THRESHO
     page.flush()
     if not page.lines:
         return ""
-    aside = np.array([x[3] for x in page.lines])
-    ratios = np.array([0.0 if x[3] else len(x[0]) / x[1] for x in page.lines])
-    if not ratios.any():
+    # a page that is marked as a whole is not marked at all
+    named = any(not x.mark for x in page.lines)
+    weights = np.array([weight(x, named) for x in page.lines])
+    ratios = np.array([x.ratio for x in page.lines]) * weights
+    plain = np.array([x.mark == "" or not (named or x.mark == "tag") for x in page.lines])
+    if not plain.any():
+        return ""
+    marked = np.where(plain, 1.0, np.where(weights <= MARK, MARK, np.minimum(weights, 1.0)))
+    content = smoothed(ratios, sigma) * marked >= threshold * ratios[plain].mean()
+    if not content.any():
         return ""
-    smooth = smoothed(ratios, sigma)
-    content = ~aside & (smooth >= threshold * ratios[~aside].mean())
-    if any(x[4] and not x[3] for x in page.lines):
-        content &= np.array([x[4] for x in page.lines])
-        if not content.any():
-            content = ~aside & np.array([x[4] for x in page.lines])
-    regions = {x[2] for x, c in zip(page.lines, content) if c}
-    return "\n\n".join(x[0] for x in page.lines if not x[3] and x[2] in regions)
+    held = region(page, content) & (plain | content)
+    return "\n\n".join(x.text for x, h in zip(page.lines, held) if h)
 
 
 def extract(pages: DataFrame, html: str = "html", kept: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

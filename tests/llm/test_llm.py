@@ -314,8 +314,11 @@ def test_quality_shared_longest_line(spark):
     legal = " ".join(f"legal{i}" for i in range(60))
     pages = [(i, "h", f"title of page {i} x\n{legal}") for i in range(150)]
     copies = [(1000 + i, "g", f"one title\n{legal}") for i in range(150)]
-    got = quality.kept_documents(spark.createDataFrame([*pages, *copies], "doc_id long, source string, text string"))
-    assert sorted(r.doc_id for r in got.collect()) == [x[0] for x in copies]
+    df = spark.createDataFrame([*pages, *copies, copies[0]], "doc_id long, source string, text string")
+    assert sorted(r.doc_id for r in quality.kept_documents(df).collect()) == [1000, *[x[0] for x in copies]]
+    found = quality.judged(df.selectExpr("*", "'mine' AS __key", "'x' AS kept")).collect()
+    assert sorted(r.doc_id for r in found if r.kept) == [1000, *[x[0] for x in copies]]
+    assert {(r.source, r.n_removed_lines, r.n_removed_words, r["__key"]) for r in found} == {("h", 1, 60, "mine"), ("g", 0, 0, "mine")}
 
 
 def test_quality_removes_lines(spark):
@@ -391,6 +394,44 @@ def test_html_text(spark):
         [(1, "u", want, len(want)), (2, None, "", 0), (3, "v", "", 0), (4, "w", "", 0), (None, "x", "plain text & more", 17)])
 
 
+LONG = "a sentence of the article that goes on for quite a few words more"
+
+
+def test_html_article_keeps_vague_names():
+    page = (f"<body><div class=related><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></div><article><h2 class=section-header>Title</h2>"
+            f"<p>{LONG}</p><div class=legal>{LONG} by law</div><section class=related-work><p>{LONG} of others</p></section>"
+            f"<div class=ad>{LONG} to buy</div></article></body>")
+    assert html_text.main_text(page).split("\n\n") == ["Title", LONG, f"{LONG} by law", f"{LONG} of others"]
+
+
+def test_html_short_steps_without_article():
+    steps = [f"Step {i}: turn {i}" for i in range(12)]
+    page = (f"<body><div class=x7><a href=1>Home</a> <a href=2>News</a></div><div class=x8><p>{LONG}</p>"
+            + "".join(f"<div>{x}</div>" for x in steps) + f"<p>{LONG} again</p><div>The end</div></div>"
+            "<div class=x9><ul><li><a href=3>Terms</a><li><a href=4>Privacy</a></ul></div></body>")
+    assert html_text.main_text(page).split("\n\n") == [LONG, *steps, f"{LONG} again", "The end"]
+
+
+def test_html_threshold_decides():
+    """Names that say nothing: the ratio alone tells the article from the menus, and the threshold moves the line."""
+    menu = "".join(f"<li><a href={i}>entry {i}</a>" for i in range(8))
+    page = f"<body><div class=q1><ul>{menu}</ul></div><div class=q2><p>{LONG}<p>{LONG}</div><div class=q3><ul>{menu}</ul></div></body>"
+    assert html_text.main_text(page) == f"{LONG}\n\n{LONG}"
+    assert "entry 3" in html_text.main_text(page, threshold=0.0)
+    assert html_text.main_text(page, threshold=50.0) == ""
+
+
+def test_html_rows(spark):
+    """Repeated rows, clashing extra columns, a very long page, a page marked as a whole; many open elements."""
+    long = "<article>" + f"<p>{LONG}</p>" * 20_000 + "</article>"
+    whole = f"<div class=widget><p>{LONG}</p></div>"
+    rows = [(1, "u", long, "x", 0), (2, "v", whole, "y", 0), (2, "v", whole, "y", 0), (3, "w", "<div>" * 3000 + LONG, None, None)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int"))
+    want = [(1, "\n\n".join([LONG] * 20_000)), (2, LONG), (2, LONG), (3, LONG)]
+    assert as_set(got, "page_id", "text") == collections.Counter(want)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+
+
 def test_html_pieces(monkeypatch):
     whole = html_text.main_text(PAGE)
     monkeypatch.setattr(html_text, "PIECE", 7)
