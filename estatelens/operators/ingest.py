@@ -50,9 +50,29 @@ def explode_payloads(pages: DataFrame, payload_col: str = "payload",
                      F.to_json("item").alias("record_json"))
 
 
-def flatten_listings(items: DataFrame, as_of: _dt.date, label_col: str = "status_label") -> DataFrame:
-    """Listing model -> RAW row with the reference defaults; listings
-    without a street are dropped."""
+# Fixed value: the id of the script that holds a page's data.
+SCRIPT_ID = "__NEXT_DATA__"
+
+
+def payload_of_html(pages: DataFrame, html_col: str = "html", payload_col: str = "payload",
+                    state_col: str = "state") -> DataFrame:
+    """``pages`` with the JSON text of their data script and a state: ``ok``, ``no script`` or ``not json``.
+
+    The payload is null unless the state is ``ok``; null and empty pages have no script,
+    an empty script counts as none, and of several the first is taken."""
+    tag = rf"""(?is)<script\b(?=[^>]*\sid\s*=\s*["']?{SCRIPT_ID}["'\s>])[^>]*>(.*?)</script\s*>"""
+    body = F.btrim(F.regexp_extract(F.coalesce(F.col(html_col), F.lit("")), tag, 1), F.lit(" \t\r\n"))
+    found = pages.withColumn("__body", body)
+    state = (F.when(F.col("__body") == "", "no script")
+             .when(F.try_parse_json("__body").isNull(), "not json").otherwise("ok"))
+    return (found.withColumn(state_col, state)
+            .withColumn(payload_col, F.when(F.col(state_col) == "ok", F.col("__body"))).drop("__body"))
+
+
+def flatten_listings(items: DataFrame, as_of: _dt.date, label_col: str = "status_label",
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """Listing model -> RAW row with the reference defaults, and the columns ``keep``;
+    listings without a street are dropped."""
     m = lambda c: F.col(f"m.{c}")
     street = F.coalesce(m("address.street"), F.lit("N/A"))
     suburb = F.upper(F.coalesce(m("address.suburb"), F.lit("Map Area")))
@@ -76,7 +96,7 @@ def flatten_listings(items: DataFrame, as_of: _dt.date, label_col: str = "status
         raw_price.alias("Raw_Price"), S.parse_price(raw_price).alias("Numeric_Price"),
         lat.alias("Latitude"), lng.alias("Longitude"),
         S.distance_to_cbd_km(lat, lng).alias("Distance_to_CBD_km"),
-        S.listing_url(m("url")).alias("URL"), S.stamp(as_of).alias("Last_Updated"))
+        S.listing_url(m("url")).alias("URL"), S.stamp(as_of).alias("Last_Updated"), *keep)
     return out
 
 

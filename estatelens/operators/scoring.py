@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,6 +69,28 @@ def first_k_per_group(df: DataFrame, group: str, order, k: int = 3, salt: int =
     return pre.withColumn("__rn", F.row_number().over(w2)).where(F.col("__rn") <= k).drop("__rn")
 
 
+def scatter_samples(df: DataFrame, key: str, predicted: str, features: Sequence[str],
+                    bins: int = 20, k: int = 25) -> DataFrame:
+    """V3: (feature, bin, value, key, predicted): up to ``k`` rows of each of ``bins`` equal parts of each feature's range.
+
+    The rows with the least md5 of their key are taken, so that reruns agree and sparse
+    parts of a range stay visible.  Null and NaN values and predictions are left out; a
+    feature of one value has one part.  One pass for the ranges, one for the samples."""
+    ok = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    rows = df.where(ok(predicted)).select(key, predicted, *features)
+    ranges = rows.agg(*[f(F.when(ok(c), F.col(c).cast("double"))).alias(f"__{n}_{c}")
+                        for c in features for n, f in (("lo", F.min), ("hi", F.max))])
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.when(ok(c), F.col(c).cast("double")).alias("value"),
+                               F.col(f"__lo_{c}").alias("lo"), F.col(f"__hi_{c}").alias("hi")) for c in features])
+    long = (rows.crossJoin(F.broadcast(ranges)).select(key, predicted, F.explode(cells).alias("c"))   # one-row side
+            .where(F.col("c.value").isNotNull()))
+    part = F.when(F.col("c.hi") > F.col("c.lo"), F.least(F.lit(bins - 1), F.floor(
+        (F.col("c.value") - F.col("c.lo")) / (F.col("c.hi") - F.col("c.lo")) * bins))).otherwise(0).cast("int")
+    long = long.select("c.feature", part.alias("bin"), "c.value", key, predicted, F.md5(F.col(key).cast("string")).alias("__h"))
+    grouped = long.withColumn("__cell", F.struct("feature", "bin"))
+    return first_k_per_group(grouped, "__cell", ["__h", key], k).drop("__cell", "__h")
+
+
 def regression_metrics(df: DataFrame, actual: str, predicted: str, by=()) -> DataFrame:
     """RMSE, MAE, MAPE (AUD) and R^2, RMSE, MAE on the log1p scale, one pass."""
     y, yh = F.col(actual), F.col(predicted)

@@ -76,7 +76,7 @@ SELECT pid AS Property_ID, status_label AS Status,
   CAST(coalesce(beds, 0) AS DOUBLE) AS Beds, CAST(coalesce(baths, 0) AS DOUBLE) AS Baths,
   CAST(coalesce(parking, carspaces, 0) AS DOUBLE) AS Car_Spaces,
   CASE WHEN landUnit LIKE '%ha%' THEN TRY_CAST(landSize AS DOUBLE) * 10000 ELSE TRY_CAST(landSize AS DOUBLE) END AS LandSize_sqm,
-  coalesce(price, 'N/A') AS Raw_Price, lat AS Latitude, lng AS Longitude, {_hav('lat', 'lng')} AS Distance_to_CBD_km,
+  coalesce(price, 'N/A') AS Raw_Price, TRY_CAST(substr(price, 2) AS DOUBLE) AS Numeric_Price, lat AS Latitude, lng AS Longitude, {_hav('lat', 'lng')} AS Distance_to_CBD_km,
   CASE WHEN url IS NOT NULL AND url <> '' THEN 'https://www.domain.com.au' || url ELSE 'N/A' END AS URL,
   CAST(5 AS INT) AS total_pages
 FROM f"""
@@ -85,9 +85,37 @@ FROM f"""
 @register("payload_explode", PAYLOAD_SQL)
 def q_payload(spark, sf_dir):
     items = IG.explode_payloads(payload_pages(spark, sf_dir))
-    flat = IG.flatten_listings(items, DEFAULT.as_of)
-    tp = items.select(F.col("pid").alias("Property_ID"), "total_pages")
-    return flat.join(tp, "Property_ID").drop("Numeric_Price", "Last_Updated")
+    return IG.flatten_listings(items, DEFAULT.as_of, keep=("total_pages",)).drop("Last_Updated")
+
+
+BROKEN = "CASE WHEN page % 7 = 3 THEN 'no script' WHEN page % 11 = 5 THEN 'not json' ELSE 'ok' END"
+
+
+def html_pages(spark, sf_dir):
+    """The payload pages inside stored HTML; some without their script, some cut off in it."""
+    p = payload_pages(spark, sf_dir).withColumn("state", F.expr(BROKEN))
+    other = F.lit("<html><head><script>var id = '__NEXT_DATA__';</script></head><body><div id=\"__NEXT_DATA__\">{}</div>")
+    body = F.when(F.col("state") == "not json", F.expr("left(payload, length(payload) - 9)")).otherwise(F.col("payload"))
+    script = F.concat(F.lit('<script type="application/json"\n id="__NEXT_DATA__">'), body, F.lit("</script>"))
+    return p.select("page", "status_label", F.concat(
+        other, F.when(F.col("state") != "no script", script).otherwise(""), F.lit("</body></html>")).alias("html"))
+
+
+@register("payload_html", f"""
+WITH it AS (SELECT {', '.join(f'{e} AS {n}' for n, e in ITEM)} FROM orders),
+p AS (SELECT page, status_label, {BROKEN} AS state, count(*) AS all_listings, count(street) AS with_street,
+             sum(CASE WHEN street IS NOT NULL THEN CAST(pid AS BIGINT) END) AS ids FROM it GROUP BY page, status_label)
+SELECT page, status_label, state, CAST(CASE WHEN state = 'ok' THEN with_street ELSE 0 END AS BIGINT) AS n_listings,
+       CAST(CASE WHEN state = 'ok' THEN ids END AS BIGINT) AS id_sum FROM p""")
+def q_payload_html(spark, sf_dir):
+    """A6 from stored pages: every page with its state and what its listings come to."""
+    pages = IG.payload_of_html(html_pages(spark, sf_dir))
+    # the page's own label travels with its listings
+    keyed = pages.withColumn("of", F.struct("page", "status_label"))
+    flat = IG.flatten_listings(IG.explode_payloads(keyed, label_col="of"), DEFAULT.as_of, label_col="of")
+    got = flat.groupBy(F.col("Status").alias("of")).agg(F.count("*").alias("n_listings"), F.sum(F.col("Property_ID").cast("long")).alias("id_sum"))
+    return keyed.select("of", "state").join(got, "of", "left").select(
+        "of.page", "of.status_label", "state", F.coalesce("n_listings", F.lit(0)).cast("long").alias("n_listings"), "id_sum")
 
 
 ARRIVAL = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount",

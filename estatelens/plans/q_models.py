@@ -15,7 +15,9 @@ from estatelens.operators import scoring as SC
 from estatelens.operators.common import materialize
 from estatelens.params import DEFAULT
 from estatelens.plans import base
-from estatelens.plans.q_features import engineered, split
+from estatelens.plans import oracle_sql as O
+from estatelens.plans import standin
+from estatelens.plans.q_features import FEAT_CTES, engineered, split
 from estatelens.plans.registry import register
 
 # Forest configurations of the registered queries; the reference's grid of 36
@@ -27,6 +29,9 @@ FOREST_CONFIGS = [{"numTrees": 40, "maxDepth": 10, "minInstancesPerNode": 1,
                    "featureSubsetStrategy": "sqrt"}]
 
 
+SEGMENT = "Property_Type"   # of the interval scales
+
+
 def folds(spark, sf_dir):
     """The assembled folds and the preprocessor of the training fold."""
     def build():
@@ -77,9 +82,9 @@ def full_sold(spark, sf_dir):
 
 
 def offsets(spark, sf_dir):
-    """Conformal offsets of the training fold's model on the validation fold, written once."""
-    return base.stage(spark, sf_dir, "interval-offsets",
-                      lambda: M.conformal_offsets(boosted(spark, sf_dir, "train"), folds(spark, sf_dir)[0].val))
+    """Conformal offsets by property type, of the training fold's model on the validation fold, written once."""
+    return base.stage(spark, sf_dir, "interval-offsets", lambda: M.scaled_offsets(
+        M.residuals(boosted(spark, sf_dir, "train"), folds(spark, sf_dir)[0].val), SEGMENT))
 
 
 @register("ridge_grid")
@@ -108,11 +113,37 @@ def q_boost(spark, sf_dir):
 
 @register("intervals")
 def q_intervals(spark, sf_dir):
-    """K9: point model on train, conformal offsets on val, coverage on test."""
+    """K9: point model on train, scaled conformal offsets on val, coverage per segment on test."""
     fd, _ = folds(spark, sf_dir)
     model, offs = boosted(spark, sf_dir, "train"), offsets(spark, sf_dir)
-    pred = M.predict_with_interval(model, fd.test.withColumn(M.PRICE, F.expm1(M.LABEL)), offs)
-    return M.coverage(pred).crossJoin(offs.select("off_lo", "off_hi", "n_calib"))
+    pred = M.predict_with_interval(model, fd.test.withColumn(M.PRICE, F.expm1(M.LABEL)), offs, SEGMENT)
+    return M.segment_coverage(pred, SEGMENT).join(offs, SEGMENT, "left")
+
+
+@register("interval_segments", O.with_cleaned(FEAT_CTES + f"""
+, res AS (SELECT Property_Type, ln(1 + Numeric_Price) - ln(1 + {standin.PRED}) AS r FROM split WHERE fold = 'val'),
+whole AS (SELECT count(*) AS n, sum(abs(r)) AS t FROM res),
+seg AS (SELECT Property_Type, count(*) AS n_calib, sum(abs(r)) AS s FROM res GROUP BY Property_Type),
+own AS (SELECT Property_Type, n_calib, (s + {M.SCALE_SHRINKAGE} * t / n) / (n_calib + {M.SCALE_SHRINKAGE}) AS scale
+        FROM seg, whole WHERE Property_Type IS NOT NULL),
+cuts AS (SELECT quantile_cont(r / coalesce(scale, t / n), 0.1) AS a, quantile_cont(r / coalesce(scale, t / n), 0.9) AS b
+         FROM res LEFT JOIN own USING (Property_Type), whole),
+test AS (SELECT Property_Type, Numeric_Price AS y, {standin.PRED} AS pt, ln(1 + {standin.PRED}) AS p,
+                coalesce(scale, t / n) AS sc, a, b
+         FROM split LEFT JOIN own USING (Property_Type), whole, cuts WHERE fold = 'test'),
+iv AS (SELECT *, exp(p + a * sc) - 1 AS lo, exp(p + b * sc) - 1 AS hi FROM test)
+SELECT Property_Type, CAST(count(*) AS BIGINT) AS n, round_even(avg(CASE WHEN y BETWEEN lo AND hi THEN 1.0 ELSE 0.0 END) * 100, 4) AS coverage_pct,
+  round_even(quantile_cont((hi - lo) / pt * 100, 0.5), 4) AS median_width_pct, round_even(any_value(sc), 6) AS scale
+FROM iv WHERE Property_Type IS NOT NULL GROUP BY Property_Type"""))
+def q_interval_segments(spark, sf_dir):
+    """K9 with the deterministic stand-in prediction: the scales of the validation fold, coverage on the test fold."""
+    rows = split(spark, sf_dir).select("Property_Type", "fold", M.PRICE, F.log1p(F.expr(standin.PRED)).alias("prediction"))
+    res = rows.where("fold = 'val'").withColumn("residual", F.log1p(M.PRICE) - F.col("prediction"))
+    offs = materialize(M.scaled_offsets(res, SEGMENT), "interval-segments")
+    pred = M.interval_prices(rows.where("fold = 'test'"), offs, SEGMENT)
+    found = M.with_segment(M.segment_coverage(pred, SEGMENT), offs.select(SEGMENT, "scale"), SEGMENT, ["scale"])
+    return found.select(SEGMENT, "n", *[F.bround(c, 4).alias(c) for c in ("coverage_pct", "median_width_pct")],
+                        F.bround("scale", 6).alias("scale"))
 
 
 @register("protocol")
@@ -143,8 +174,8 @@ def scored(spark, sf_dir, for_sale, p=DEFAULT, model=None):
     """Engineered listings scored by the stored production model and offsets, with intervals and signals."""
     _, prep = full_sold(spark, sf_dir)
     dated = for_sale.withColumns({"Year": F.lit(p.as_of.year), "Month": F.lit(p.as_of.month)})
-    vectors = M.assemble(FE.transform(dated, prep, keep=("Property_ID",)), prep.feature_order, ["Property_ID"])
-    pred = M.predict_with_interval(model or boosted(spark, sf_dir, "full"), vectors, offsets(spark, sf_dir))
+    vectors = M.assemble(FE.transform(dated, prep, keep=("Property_ID", SEGMENT)), prep.feature_order, ["Property_ID", SEGMENT])
+    pred = M.predict_with_interval(model or boosted(spark, sf_dir, "full"), vectors, offsets(spark, sf_dir), SEGMENT)
     return SC.postprocess(dated.join(pred.select("Property_ID", "point", "q_lo", "q_hi"), "Property_ID"), "point", "q_lo", "q_hi", p)
 
 

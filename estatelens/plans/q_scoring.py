@@ -167,3 +167,18 @@ def q_filtered(spark, sf_dir):
     f = SC.filter_listings(v, types=["House", "Townhouse"], price_range=(400000, 1200000),
                            beds_range=(2, 5), signals=["Good Deal", "Fair"])
     return f.select("Property_ID", "Suburb", "Property_Type", "Beds", "Predicted_Price", "Deal_Signal")
+
+
+SCATTER = ["Beds", "Baths", "Car_Spaces", "LandSize_sqm", "Distance_to_CBD_km", "crime_rate_per_100k", "dist_nearest_train_km"]
+
+
+@register("scatter_samples", O.with_cleaned(FEAT_CTES + SCORED_CTE + ", points AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, Property_ID, Predicted_Price FROM signals WHERE {c} IS NOT NULL"
+    for c in SCATTER) + """),
+ranged AS (SELECT *, min(value) OVER (PARTITION BY feature) AS lo, max(value) OVER (PARTITION BY feature) AS hi FROM points),
+binned AS (SELECT *, CAST(CASE WHEN hi > lo THEN least(19, floor((value - lo) / (hi - lo) * 20)) ELSE 0 END AS INT) AS bin FROM ranged),
+taken AS (SELECT *, row_number() OVER (PARTITION BY feature, bin ORDER BY md5(CAST(Property_ID AS VARCHAR)), Property_ID) AS rn FROM binned)
+SELECT feature, bin, round_even(value, 4) AS value, Property_ID, Predicted_Price FROM taken WHERE rn <= 25"""))
+def q_scatter(spark, sf_dir):
+    """V3: predicted price against seven features, a bounded sample of each part of their ranges."""
+    return SC.scatter_samples(scored(spark, sf_dir), "Property_ID", "Predicted_Price", SCATTER).withColumn("value", F.bround("value", 4))

@@ -23,6 +23,8 @@ from estatelens.sources import readers as R
 from estatelens.sources import sinks as W
 
 
+SEGMENT = "Property_Type"   # of the interval scales
+
 def decisions_table(spark: SparkSession, cleaned: DataFrame, caps: DataFrame,
                     p: Params) -> DataFrame:
     """The decision parameters as a (name, value) table."""
@@ -59,13 +61,13 @@ def weekly_update(spark: SparkSession, listings: DataFrame, out_dir: str,
     eng = FE.add_engineered(cleaned, C.rare_types(cleaned), p)
     split = FE.chronological_split(FE.trainable(eng), p)
     prep_tr = FE.fit_preprocessor(split.where("fold = 'train'"))
-    fd = M.fold_vectors(FE.transform(split, prep_tr, keep=("Property_ID", "fold", "Numeric_Price")),
-                        prep_tr.feature_order)
+    fd = M.fold_vectors(FE.transform(split, prep_tr, keep=("Property_ID", "fold", "Numeric_Price", SEGMENT)),
+                        prep_tr.feature_order, keep=("Property_ID", SEGMENT))
     m_val = M.boosting(boost).fit(fd.train)
     metrics = [{"fold": "val", **M.evaluate(m_val, fd.val)}]
     m_test = M.boosting(boost).fit(fd.train.unionByName(fd.val))
     metrics.append({"fold": "test", **M.evaluate(m_test, fd.test)})
-    offsets = M.conformal_offsets(m_val, fd.val)
+    offsets = M.scaled_offsets(M.residuals(m_val, fd.val), SEGMENT)
     prep_all = FE.fit_preprocessor(split)
     full = M.assemble(FE.transform(split, prep_all, keep=("Property_ID", "Numeric_Price")),
                       prep_all.feature_order, ["Property_ID"])
@@ -82,9 +84,9 @@ def weekly_update(spark: SparkSession, listings: DataFrame, out_dir: str,
     # 3. score For Sale at the as-of date
     fs = eng.where("Status = 'For Sale'").withColumns(
         {"Year": F.lit(p.as_of.year), "Month": F.lit(p.as_of.month)})
-    X = M.assemble(FE.transform(fs, prep_all, keep=("Property_ID",)), prep_all.feature_order,
-                   ["Property_ID"])
-    pred = M.predict_with_interval(model, X, offsets).select("Property_ID", "point", "q_lo", "q_hi")
+    X = M.assemble(FE.transform(fs, prep_all, keep=("Property_ID", SEGMENT)), prep_all.feature_order,
+                   ["Property_ID", SEGMENT])
+    pred = M.predict_with_interval(model, X, offsets, SEGMENT).select("Property_ID", "point", "q_lo", "q_hi")
     view = SC.prediction_view(SC.postprocess(fs.join(pred, "Property_ID"), "point", "q_lo", "q_hi", p))
     W.write_parquet(view, f"{out_dir}/predictions_for_sale")
     W.write_csv(spark.read.parquet(f"{out_dir}/predictions_for_sale"), f"{out_dir}/predictions_csv")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from estatelens.operators.common import global_rank
 from estatelens.operators.ingest import change_events, previous_values
 from estatelens.operators.quantiles import exact_percentiles, running_totals
+from estatelens.operators.scoring import scatter_samples
 from estatelens.operators.spatial import knn_join
 
 
@@ -242,3 +243,21 @@ def test_cleaning_books_reconcile(spark):
     assert sorted(map(str, result.cleaned.collect())) == sorted(map(str, clean(df).cleaned.collect()))
     _, steps = accounted_clean(df.limit(0))
     assert {(r.rows_before, r.removed, r.rows_after) for r in steps.collect()} == {(0, 0, 0)}
+
+
+def test_scatter_samples_against_brute_force(spark):
+    """A feature with an outlier, one of a single value, one of nulls and NaN; nothing of a null prediction."""
+    import hashlib
+    rows = [(str(i), None if i % 50 == 7 else float(i), 1e6 if i == 3 else float(i % 97), 5.0,
+             None if i % 3 == 0 else float("nan") if i % 3 == 1 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id string, pred double, a double, b double, c double")
+    got = sorted(tuple(r) for r in scatter_samples(df, "id", "pred", ["a", "b", "c"], bins=8, k=5).collect())
+    want = []
+    for name, at in (("a", 2), ("b", 3)):
+        points = [(r[at], r[0], r[1]) for r in rows if r[1] is not None]
+        lo, hi = min(points)[0], max(points)[0]
+        cells = {}
+        for v, key, p in points:
+            cells.setdefault(min(7, int((v - lo) / (hi - lo) * 8)) if hi > lo else 0, []).append((hashlib.md5(key.encode()).hexdigest(), key, v, p))
+        want += [(name, b, v, key, p) for b, cell in cells.items() for _, key, v, p in sorted(cell)[:5]]
+    assert got == sorted(want) and len({r[1] for r in got if r[0] == "a"}) == 2

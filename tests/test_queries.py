@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 SUBSET = ["listings_adapter", "clean_union", "land_caps", "removal_audit", "describe_price",
           "corr_matrix", "yearly_median_yoy", "knn_suburbs", "nearest_stop", "ks_drift",
           "time_split", "feature_matrix", "interval_post", "segment_errors", "price_text_parse",
-          "offence_rate", "rail_stops_semi", "payload_explode", "change_events_batch",
+          "offence_rate", "rail_stops_semi", "payload_explode", "payload_html", "scatter_samples", "interval_segments", "change_events_batch",
           "change_stream", "change_stream_stateful", "csv_dialect_scan", "boundary_resume",
           "enrich_listings", "ks_drift_pvalues"]
 

@@ -2,6 +2,7 @@
 
 import tempfile
 
+from estatelens.operators.ingest import explode_payloads, payload_of_html
 from estatelens.sources.readers import probe_dialect, read_listings_csv
 
 HEADER = ["Property_ID", "Status", "Suburb", "Postcode", "Property_Type", "Beds", "Numeric_Price"]
@@ -114,3 +115,23 @@ def test_only_files_with_quoted_breaks_are_read_whole(spark, tmp_path):
     assert got.count() == 32
     text = got._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Relation") == 2          # one read in splits, one record by record
+
+
+def test_payload_of_html(spark):
+    """The data script among others, whatever its attributes; pages without one, with an empty and with a cut one."""
+    body = '{"props": {"pageProps": {"componentProps": {"listingsMap": {"7": {"listingModel": {"price": "$1"}}}}}}}'
+    pages = [(1, f'<script id="__NEXT_DATA__" type="application/json">{body}</script>'),
+             (2, f"<SCRIPT type=x\n id = '__NEXT_DATA__'>\n{body}\n</SCRIPT ><script id='__NEXT_DATA__'>{{}}</script>"),
+             (3, f"<script>{body}</script><div id='__NEXT_DATA__'>{body}</div>"), (4, '<script id="__NEXT_DATA__"></script>'),
+             (5, f'<script id="__NEXT_DATA__">{body[:-5]}</script>'), (6, None), (7, ""),
+             (8, f'<script id="__NEXT_DATA__X">{body}</script>'), (9, f'<script data-id="__NEXT_DATA__">{body}</script>'),
+             (10, f"<script id=__NEXT_DATA__ defer>{body}</script>"), (10, f"<script id=__NEXT_DATA__ defer>{body}</script>"),
+             (11, '<script id="__NEXT_DATA__">{}</script>')]
+    got = payload_of_html(spark.createDataFrame(pages, "id int, html string"))
+    states = sorted((r.id, r.state) for r in got.collect())
+    assert states == [(1, "ok"), (2, "ok"), (3, "no script"), (4, "no script"), (5, "not json"), (6, "no script"), (7, "no script"),
+                      (8, "no script"), (9, "no script"), (10, "ok"), (10, "ok"), (11, "ok")]
+    assert {r.payload for r in got.where("state = 'ok' AND id < 11").collect()} == {body}
+    assert got.where("state <> 'ok' AND payload IS NOT NULL").count() == 0
+    items = explode_payloads(got.withColumn("status_label", got.id))
+    assert sorted((r.status_label, r.pid, r.m.price) for r in items.collect()) == [(i, "7", "$1") for i in (1, 2, 10, 10)]
