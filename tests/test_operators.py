@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from estatelens.operators.common import global_rank
@@ -261,3 +262,23 @@ def test_scatter_samples_against_brute_force(spark):
             cells.setdefault(min(7, int((v - lo) / (hi - lo) * 8)) if hi > lo else 0, []).append((hashlib.md5(key.encode()).hexdigest(), key, v, p))
         want += [(name, b, v, key, p) for b, cell in cells.items() for _, key, v, p in sorted(cell)[:5]]
     assert got == sorted(want) and len({r[1] for r in got if r[0] == "a"}) == 2
+
+
+def test_nearest_distance_searches_places_once(spark, monkeypatch):
+    """Stops that share a place are searched once, by distance alone; the answers are those of brute force."""
+    from estatelens.operators import spatial as SP
+    rng = np.random.default_rng(4)
+    spots = [(float(a), float(b)) for a, b in zip(rng.uniform(-38.0, -37.98, 150), rng.uniform(145.0, 145.02, 150))] + [(-36.0, 143.0)]
+    stops = spark.createDataFrame([(str(i), *spots[i % 151]) for i in range(3000)] + [("n", None, 1.0)], "stop_id string, stop_lat double, stop_lon double")
+    asked = [(str(i), float(a), float(b)) for i, (a, b) in enumerate(zip(rng.uniform(-38.6, -36, 60), rng.uniform(143, 145.7, 60)))] + [("x", *spots[0])]
+    seen, plain = [], SP.knn_join
+    monkeypatch.setattr(SP, "knn_join", lambda left, right, *a, **k: seen.append((right.count(), a[2])) or plain(left, right, *a, **k))
+    got = {r.id: r.dist_nearest_train_km for r in SP.nearest_distance_km(
+        spark.createDataFrame(asked, "id string, lat double, lon double"), stops, "id", "lat", "lon").collect()}
+    assert seen == [(151, None)]
+
+    def km(a, b, c, d):
+        a, b, c, d = map(np.radians, (a, b, c, d))
+        h = np.sin((c - a) / 2) ** 2 + np.cos(a) * np.cos(c) * np.sin((d - b) / 2) ** 2
+        return 6371.0 * 2 * np.arctan2(np.sqrt(h), np.sqrt(1 - h))
+    assert got == {i: pytest.approx(min(km(a, b, c, d) for c, d in spots), abs=6e-4) for i, a, b in asked}
