@@ -282,3 +282,18 @@ def test_nearest_distance_searches_places_once(spark, monkeypatch):
         h = np.sin((c - a) / 2) ** 2 + np.cos(a) * np.cos(c) * np.sin((d - b) / 2) ** 2
         return 6371.0 * 2 * np.arctan2(np.sqrt(h), np.sqrt(1 - h))
     assert got == {i: pytest.approx(min(km(a, b, c, d) for c, d in spots), abs=6e-4) for i, a, b in asked}
+
+
+def test_first_k_sorts_few_rows(spark):
+    """Rows beyond the reach of the first k are left out before sorting; ties, nulls, small groups and long common beginnings keep theirs."""
+    from estatelens.operators import scoring as SC
+    rows = [("big", hex(i * 2654435761 % 2 ** 32)[2:].zfill(8)) for i in range(20000)] + [("few", "b"), ("few", "a"), (None, "q"), ("same", None)]
+    rows += [("same", f"beginning-{i % 50:03d}") for i in range(5000)]
+    df = spark.createDataFrame(rows, "g string, t string")
+    kept = {r.g: r.n for r in SC._within_reach(df, "g", "t", 25, 64).groupBy("g").agg(F.count("*").alias("n")).collect()}
+    assert 25 <= kept["big"] < 200 and kept["few"] == 2 and kept[None] == 1 and kept["same"] == 5001
+    got = {}
+    for r in SC.first_k_per_group(df, "g", ["t"], 25).collect():
+        got.setdefault(r.g, []).append(r.t)
+    for g in ("big", "few", None, "same"):
+        assert sorted(got[g], key=lambda x: (x is not None, x)) == sorted((t for x, t in rows if x == g), key=lambda x: (x is not None, x))[:25]
