@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estatelens.operators import spatial as SP
+from estatelens.operators.common import materialize
 
 
 def boundary_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str,
@@ -72,34 +73,40 @@ def change_stream(spark: SparkSession, source_dir: str, schema: T.StructType, wo
 
     cols = [key, *order, *pair]
     out_schema = T.StructType([schema[c] for c in cols])
+    bootstrapped = bootstrap is not None
     state_schema = T.StructType([T.StructField(f"last_{c}", schema[c].dataType) for c in pair])
 
     def emit(k, batches, state):
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(list(order), kind="mergesort", ignore_index=True)
-        vals = pdf[list(pair)].astype(object).where(pdf[list(pair)].notna(), None)
-        prev = vals.shift(1)
-        first_is_new = False
+        # most keys have a few records: plain values, as a frame's every operation costs more than they do
+        parts = list(batches)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        n = len(pdf)
+        values = {c: pdf[c].tolist() for c in (*order, *pair)}
+        plain = lambda c, i: None if pd.isna(values[c][i]) else values[c][i]
+        places = range(n)
+        if n > 1:
+            ranked = [[plain(c, i) for c in order] for i in places]
+            places = sorted(places, key=lambda i: [(x is None, 0 if x is None else x) for x in ranked[i]])
+        last = None
         if state.exists:
-            prev.iloc[0] = list(state.get)
-        elif pdf["__stored"].fillna(False).astype(bool).any():
-            row = pdf[[f"__{c}" for c in pair]].astype(object).iloc[0]
-            prev.iloc[0] = [None if pd.isna(x) else x for x in row]
-        else:
-            first_is_new = True
-        changed = pd.Series(first_is_new, index=pdf.index) & (pdf.index == 0)
-        for c in pair:
-            a, b = vals[c], prev[c]
-            changed |= ~((a.isna() & b.isna()) | (a == b))
-        tail = vals.iloc[-1]
-        state.update(tuple(None if pd.isna(tail[c]) else tail[c] for c in pair))
-        yield pdf.loc[changed.values, cols]
+            last = tuple(state.get)
+        elif bootstrapped and any(x is True for x in pdf["__stored"].tolist()):
+            last = tuple(None if pd.isna(x) else x for x in (pdf[f"__{c}"].iloc[0] for c in pair))
+        changed = []
+        for i in places:
+            now = tuple(plain(c, i) for c in pair)
+            if now != last:
+                changed.append(i)
+            last = now
+        state.update(last)
+        if changed:
+            yield pdf[cols].iloc[changed]
 
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_dir).select(*cols))
-    if bootstrap is None:
-        stream = stream.select("*", F.lit(None).cast("boolean").alias("__stored"),
-                               *[F.lit(None).cast(schema[c].dataType).alias(f"__{c}") for c in pair])
-    else:
-        stored = bootstrap.select(F.col(key).alias("__key"), F.lit(True).alias("__stored"), *[F.col(c).alias(f"__{c}") for c in pair])
+    if bootstrapped:
+        # written once: each micro-batch reads the table and not what made it
+        stored = materialize(bootstrap.select(F.col(key).alias("__key"), F.lit(True).alias("__stored"),
+                                              *[F.col(c).alias(f"__{c}") for c in pair]), "change-stored")
         stream = stream.join(stored, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
     q = (stream.groupBy(key)
          .applyInPandasWithState(emit, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
