@@ -18,6 +18,7 @@ from estatelens.operators import clean as C
 from estatelens.operators import features as FE
 from estatelens.operators import models as M
 from estatelens.operators import scoring as SC
+from estatelens.operators.common import materialize
 from estatelens.params import DEFAULT, Params
 from estatelens.sources import readers as R
 from estatelens.sources import sinks as W
@@ -71,6 +72,7 @@ def weekly_update(spark: SparkSession, listings: DataFrame, out_dir: str,
     prep_all = FE.fit_preprocessor(split)
     full = M.assemble(FE.transform(split, prep_all, keep=("Property_ID", "Numeric_Price")),
                       prep_all.feature_order, ["Property_ID"])
+    full = M.sized(materialize(full, "full-vectors"))
     model = M.boosting(boost).fit(full)
     model.write().overwrite().save(f"{out_dir}/models/point")
     W.write_parquet(prep_all.medians, f"{out_dir}/models/numeric_medians")
