@@ -135,3 +135,13 @@ def test_payload_of_html(spark):
     assert got.where("state <> 'ok' AND payload IS NOT NULL").count() == 0
     items = explode_payloads(got.withColumn("status_label", got.id))
     assert sorted((r.status_label, r.pid, r.m.price) for r in items.collect()) == [(i, "7", "$1") for i in (1, 2, 10, 10)]
+
+
+def test_null_tokens_are_looked_up_in_text_columns_only(spark, tmp_path):
+    path = str(tmp_path / "typed.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("Property_ID,Suburb,Postcode,Beds,Last_Updated\n1,NA,nan,-NaN,None\nNULL,S1,3101.0, 2 ,2020-01-02\n")
+    df = read_listings_csv(spark, path)
+    rows = {(r["Property_ID"], r["Suburb"], r["Postcode"], r["Beds"], str(r["Last_Updated"])) for r in df.collect()}
+    assert rows == {("1", None, None, None, "None"), (None, "S1", 3101, 2.0, "2020-01-02")}
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("INSET") == 2
